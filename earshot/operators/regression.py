@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from earshot.functions.columns import dot
 
 ZERO_VARIANCE = 1e-12
+RANK_TOLERANCE = 1e-10
 
 
 def labelled(
@@ -90,19 +91,27 @@ def _models(batch: pd.DataFrame, weights: np.ndarray, intercept: np.ndarray) ->
 def fit_ols(rows: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
     """Least squares with intercept: ``(user_id, n_rows, weights, intercept)``.
 
-    Features are scaled by their deviation first. Where they do not determine
-    the weights, those of least norm are taken; a constant feature gets 0.
+    Features are scaled by their deviation to find which combinations the rows
+    determine. Where they leave a choice, the weights of least norm are taken.
     """
     moments = user_moments(rows, features, label)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                means, covariance, target, label_mean = _stacks(batch)
-                correlation, scaled_target, inverse = _scaled(means, covariance, target)
-                inverted = np.linalg.pinv(correlation, rcond=1e-10, hermitian=True)
-                weights = np.einsum("bij,bj->bi", inverted, scaled_target) * inverse
-                yield _models(batch, weights, label_mean - np.einsum("bi,bi->b", weights, means))
+            if not len(batch):
+                continue
+            means, covariance, target, label_mean = _stacks(batch)
+            correlation, scaled_target, inverse = _scaled(means, covariance, target)
+            values, vectors = np.linalg.eigh(correlation)
+            free = values <= RANK_TOLERANCE * np.maximum(values[:, -1:], 1e-300)
+            gain = np.where(free, 0.0, 1.0 / np.where(free, 1.0, values))
+            along = np.einsum("bji,bj->bi", vectors, scaled_target) * gain
+            weights = np.einsum("bij,bj->bi", vectors, along) * inverse
+            # take out what lies along undetermined directions of the unscaled features
+            open_ways = vectors * inverse[:, :, None] * free[:, None, :]
+            spare = np.einsum("bij,bj->bi", np.linalg.pinv(open_ways, rcond=RANK_TOLERANCE), weights)
+            weights = weights - np.einsum("bij,bj->bi", open_ways, spare)
+            yield _models(batch, weights, label_mean - np.einsum("bi,bi->b", weights, means))
 
     return moments.mapInPandas(solve, _model_schema(moments))
 

@@ -21,11 +21,13 @@ SONG_FEATURE_TYPES = {
     "tempo": "double", "timeSignature": "int", "timeSignatureConfidence": "double", "year": "int",
 }
 
-USER_FEATURES = (
-    "_idx INT, artistFamiliarity DOUBLE, artistHottness DOUBLE, artistName STRING, "
-    "dancebility DOUBLE, duration DOUBLE, endOfFadeIn DOUBLE, energy DOUBLE, loudness DOUBLE, "
-    "songHotness DOUBLE, songID STRING, songTitle STRING, tempo DOUBLE, trackID STRING"
-)
+USER_FEATURE_TYPES = {
+    "artistFamiliarity": "double", "artistHottness": "double", "artistName": "string",
+    "dancebility": "double", "duration": "double", "endOfFadeIn": "double", "energy": "double",
+    "loudness": "double", "songHotness": "double", "songID": "string", "songTitle": "string",
+    "tempo": "double", "trackID": "string",
+}
+USER_FEATURES = "_idx BIGINT, " + ", ".join(f"{n} {t}" for n, t in USER_FEATURE_TYPES.items())
 
 METADATA_SCALARS = {
     "artist_familiarity": "double", "artist_hotttnesss": "double", "artist_id": "string",
