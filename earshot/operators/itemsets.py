@@ -132,7 +132,7 @@ def frequent_itemsets(
     # at most min_support - 1 ids come to the driver
     large = [r["basket_id"] for r in sizes.orderBy(F.desc("n"), "basket_id").limit(min_support - 1).collect()]
     is_large = F.col("basket_id").isin(large) if large else F.lit(False)
-    found = stage(kept.where(~is_large).select("basket_id", F.col("item").alias("i1")), "occurrences-1")
+    found = kept.where(~is_large).select("basket_id", F.col("item").alias("i1"))
     large_rows = kept.where(is_large)
 
     for k in range(2, max_size + 1):

@@ -11,6 +11,10 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # compressed Parquet is several times larger as rows: keep it from being broadcast by its file size
+    "spark.sql.sources.fileCompressionFactor": "8",
+    # joins whose partitions turn out small enough hash them instead of sorting both sides
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

@@ -1,0 +1,185 @@
+import itertools
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from earshot.operators import ratings as R
+from earshot.operators import similarity as S
+
+SCHEMA = "user_id STRING, song_id STRING, rating DOUBLE"
+
+
+def random_ratings(seed, users=30, songs=20, share=0.5):
+    rng = random.Random(seed)
+    return [
+        (f"u{u:02}", f"s{s:02}", float(rng.randint(1, 5)))
+        for u in range(users) for s in range(songs) if rng.random() < share
+    ]
+
+
+def brute_cosines(rows):
+    by_song = {}
+    for user, song, rating in rows:
+        by_song.setdefault(song, {})[user] = rating
+    centered = {
+        song: {u: r - sum(row.values()) / len(row) for u, r in row.items()} for song, row in by_song.items()
+    }
+    norms = {song: math.sqrt(sum(c * c for c in row.values())) for song, row in centered.items()}
+    sims = {}
+    for a, b in itertools.permutations(centered, 2):
+        if norms[a] > 1e-9 and norms[b] > 1e-9:
+            dot = sum(c * centered[b].get(u, 0.0) for u, c in centered[a].items())
+            sims[a, b] = dot / (norms[a] * norms[b])
+    return sims
+
+
+def brute_prediction(rows, user, k, min_neighbours):
+    sims = brute_cosines(rows)
+    mine = {s: r for u, s, r in rows if u == user}
+    scores = {}
+    for song in {s for _, s, _ in rows} - set(mine):
+        near = sorted(
+            ((round(sims.get((i, song), -1.0), 12), i) for i in mine), key=lambda x: (-x[0], x[1])
+        )
+        near = [(sim, i) for sim, i in near if sim > 0]
+        if len(near) > min_neighbours:
+            near = near[:k]
+            scores[song] = sum(mine[i] * sim for sim, i in near) / sum(sim for sim, _ in near)
+    return scores
+
+
+@pytest.mark.parametrize("fanout", [1000, 3, 0])
+def test_similarity_equals_brute_force_on_both_ways(spark, fanout):
+    rows = random_ratings(1)
+    ratings = spark.createDataFrame(rows, SCHEMA)
+    chosen = ratings.where("user_id = 'u00'")
+    mine = {s for u, s, _ in rows if u == "u00"}
+    found = S.item_similarity(ratings, chosen, fanout=fanout, users_per_block=4, songs_per_block=3).collect()
+    got = {(r.rated_song_id, r.song_id): r.sim for r in found}
+    want = {p: s for p, s in brute_cosines(rows).items() if s > 1e-12 and p[0] in mine and p[1] not in mine}
+    assert got.keys() == want.keys()
+    assert all(got[p] == pytest.approx(want[p], abs=1e-10) for p in want)
+
+
+def test_similarity_is_symmetric_and_bounded(spark):
+    ratings = spark.createDataFrame(random_ratings(2), SCHEMA)
+    sims = {
+        (r.rated_song_id, r.song_id): r.sim
+        for r in S.item_similarity(ratings, ratings, exclude_rated=False).collect()
+    }
+    assert sims
+    for (a, b), sim in sims.items():
+        assert a != b and 0 < sim <= 1 + 1e-12
+        assert sims[b, a] == pytest.approx(sim, abs=1e-11)
+
+
+def test_integer_ids_go_through_the_block_way(spark):
+    rows = [(int(u[1:]), int(s[1:]), r) for u, s, r in random_ratings(3)]
+    ratings = spark.createDataFrame(rows, "user_id BIGINT, song_id BIGINT, rating DOUBLE")
+    chosen = ratings.where("user_id = 1")
+    by_rows = S.item_similarity(ratings, chosen).orderBy("rated_song_id", "song_id").collect()
+    by_blocks = S.item_similarity(ratings, chosen, fanout=2).orderBy("rated_song_id", "song_id").collect()
+    assert [r[:2] for r in by_rows] == [r[:2] for r in by_blocks]
+    assert [r.sim for r in by_rows] == pytest.approx([r.sim for r in by_blocks], abs=1e-10)
+
+
+def test_song_with_equal_ratings_has_norm_zero_and_no_similarity(spark):
+    third = math.log2(3) + 1
+    rows = [("a", "flat", third), ("b", "flat", third), ("c", "flat", third)]
+    rows += [("a", "x", 1.0), ("b", "x", 2.0), ("a", "y", 1.0), ("b", "y", 3.0)]
+    ratings = spark.createDataFrame(rows, SCHEMA)
+    norms = {r.song_id: r.norm for r in R.item_norms(ratings).collect()}
+    assert norms["flat"] == 0.0
+    flat = R.center_by_item(ratings).where("song_id = 'flat'").select("centered").distinct().collect()
+    assert [r.centered for r in flat] == [0.0]
+    songs = {r.song_id for r in S.item_similarity(ratings, ratings, exclude_rated=False).collect()}
+    assert songs == {"x", "y"}
+
+
+@pytest.mark.parametrize("k", [50, 7, 3])
+def test_prediction_equals_brute_force(spark, k):
+    rows = random_ratings(4)
+    ratings = spark.createDataFrame(rows, SCHEMA)
+    found = S.predict_from_ratings(ratings, user_id="u05", k=k, min_neighbours=3).collect()
+    got = {r.song_id: r.score for r in found}
+    want = brute_prediction(rows, "u05", k, 3)
+    assert got.keys() == want.keys() and got
+    assert all(got[s] == pytest.approx(want[s], abs=1e-9) for s in want)
+
+
+def test_prediction_of_several_users_equals_that_of_each(spark):
+    rows = random_ratings(5)
+    ratings = spark.createDataFrame(rows, SCHEMA)
+    users = spark.createDataFrame([("u01",), ("u02",), ("nobody",)], "user_id STRING")
+    found = S.predict_from_ratings(ratings, users=users, min_neighbours=3).collect()
+    for user in ("u01", "u02"):
+        got = {r.song_id: r.score for r in found if r.user_id == user}
+        want = brute_prediction(rows, user, 50, 3)
+        assert got.keys() == want.keys()
+        assert all(got[s] == pytest.approx(want[s], abs=1e-9) for s in want)
+    mine = {(u, s): r for u, s, r in rows}
+    for r in found:
+        own = [v for (u, _), v in mine.items() if u == r.user_id]
+        assert (r.user_id, r.song_id) not in mine
+        assert min(own) - 1e-9 <= r.score <= max(own) + 1e-9
+
+
+def test_unknown_user_has_no_predictions(spark):
+    ratings = spark.createDataFrame(random_ratings(6), SCHEMA)
+    assert S.predict_from_ratings(ratings, user_id="nobody").count() == 0
+
+
+def test_five_neighbours_are_too_few_and_six_enough(spark):
+    rows = [("me", f"s{i}", 3.0) for i in range(6)]
+    # two listeners who agree on everything make all similarities positive
+    rows += [("hi", f"s{i}", 5.0) for i in range(6)] + [("lo", f"s{i}", 1.0) for i in range(6)]
+    rows += [("hi", "new", 5.0), ("lo", "new", 1.0)]
+    ratings = spark.createDataFrame(rows, SCHEMA)
+    six = S.predict_from_ratings(ratings, user_id="me").collect()
+    assert [(r.song_id, r.score) for r in six] == [("new", pytest.approx(3.0))]
+    five = ratings.where("song_id <> 's5'")
+    assert S.predict_from_ratings(five, user_id="me").count() == 0
+
+
+def test_tied_neighbours_are_taken_by_song_id(spark):
+    sims = spark.createDataFrame(
+        [("b", "new", 0.5), ("a", "new", 0.5), ("c", "new", 0.9)], "rated_song_id STRING, song_id STRING, sim DOUBLE"
+    )
+    near = S.top_neighbours(sims, 2).orderBy("place").collect()
+    assert [r.rated_song_id for r in near] == ["c", "a"]
+
+
+def test_thresholds_count_rows_and_songs_are_not_checked_again(spark):
+    rows = [(f"u{i}", "ten", 1) for i in range(10)] + [(f"u{i}", "nine", 1) for i in range(9)]
+    rows += [("u0", "eleven", 1)] + [(f"v{i}", "eleven", 1) for i in range(10)]
+    plays = spark.createDataFrame(rows, "user_id STRING, song_id STRING, play_count BIGINT")
+    kept = R.min_item_support(plays, 10)
+    assert {r.song_id for r in kept.select("song_id").distinct().collect()} == {"ten", "eleven"}
+    both = R.qualified_plays(plays, 10, 2).collect()
+    assert sorted((r.user_id, r.song_id) for r in both) == [("u0", "eleven"), ("u0", "ten")]
+
+
+def test_similar_items_keeps_listeners_with_two(spark):
+    rows = random_ratings(7)
+    ratings = spark.createDataFrame(rows, SCHEMA)
+    sims = {b: s for (a, b), s in brute_cosines(rows).items() if a == "s00" and s > 1e-12}
+    want = {}
+    for u, s, r in rows:
+        if s in sims:
+            want.setdefault(u, []).append((s, r))
+    want = {(u, s, r) for u, found in want.items() if len(found) > 1 for s, r in found}
+    got = S.similar_items(ratings, "s00").collect()
+    assert {(r.user_id, r.song_id, r.rating) for r in got} == want
+
+
+def test_scales(spark):
+    from earshot.functions.columns import scale_rating
+
+    counts = spark.createDataFrame([(1,), (2,), (16,), (1000,)], "c BIGINT")
+    rows = counts.select(scale_rating(F.col("c")).alias("l"), scale_rating(F.col("c"), "raw").alias("r")).collect()
+    assert [r.l for r in rows] == [1.0, 2.0, 5.0, 5.0]
+    assert [r.r for r in rows] == [1.0, 2.0, 16.0, 1000.0]
+    with pytest.raises(ValueError):
+        scale_rating(F.col("c"), "ln")
