@@ -93,7 +93,7 @@ def occurrences(rows: DataFrame, sets: DataFrame, k: int, heavy: int = HEAVY_BAS
     wanted = reduce(
         DataFrame.unionByName, [sets.select(F.col(c).alias("item")) for c in _names(k)]
     ).distinct()
-    rows = prune_baskets(rows, wanted)
+    rows = stage(prune_baskets(rows, wanted), "basket-rows")
     sizes = rows.groupBy("basket_id").agg(F.count("*").alias("n"))
     large = sizes.where(F.col("n") > heavy)
     light = rows if large.isEmpty() else rows.join(large, "basket_id", "left_anti")

@@ -1,9 +1,9 @@
 """Linear models per listener, fitted for all listeners at once.
 
 The rows are reduced to moments per listener in one aggregate: counts, means
-and centred second moments, which Spark merges stably. Everything else works on
-these few numbers: the exact solution and each round of gradient descent need
-no further pass over the rows.
+and centred second moments. Everything else works on these few numbers: the
+exact solution and each round of gradient descent need no further pass over the
+rows.
 """
 
 from __future__ import annotations
@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.functions.columns import dot
+from earshot.session import ship_with_jobs
+
+ship_with_jobs(__name__)
 
-ZERO_VARIANCE = 1e-12
 RANK_TOLERANCE = 1e-10
 
 
@@ -36,25 +38,36 @@ def labelled(
 
 
 def user_moments(rows: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
-    """``(user_id, n_rows, means, label_mean, covariance, label_covariance)`` per listener.
+    """``(user_id, n_rows, means, label_mean, covariance, label_covariance, varies)`` per listener.
 
-    ``covariance`` is the flattened symmetric matrix of the features.
+    ``covariance`` is the flattened symmetric matrix of the features. The sums
+    are of values less their mean over all rows, which moments do not depend on
+    but which keeps their digits; plain sums are reduced in each task before the
+    shuffle, so a listener with very many rows is no burden. ``rows`` is read
+    twice and should be staged.
     """
     d = len(features)
-    complete = rows.dropna(subset=[label, *features])
-    pairs = [(i, j) for i in range(d) for j in range(i, d)]
-    sums = complete.groupBy("user_id").agg(
+    names = [*features, label]
+    complete = rows.dropna(subset=names)
+    center = complete.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)]).first()
+    center = [value or 0.0 for value in center]
+    shifted = complete.select("user_id", *[(F.col(c) - F.lit(m)).alias(f"x{i}") for i, (c, m) in enumerate(zip(names, center))])
+    pairs = [(i, j) for i in range(d) for j in range(i, d + 1)]
+    sums = shifted.groupBy("user_id").agg(
         F.count("*").alias("n_rows"),
-        F.avg(label).alias("label_mean"),
-        *[F.avg(c).alias(f"_m{i}") for i, c in enumerate(features)],
-        *[F.covar_pop(features[i], features[j]).alias(f"_c{i}_{j}") for i, j in pairs],
-        *[F.covar_pop(c, label).alias(f"_y{i}") for i, c in enumerate(features)],
+        *[(F.sum(f"x{i}") / F.count("*")).alias(f"s{i}") for i in range(d + 1)],
+        *[(F.sum(F.col(f"x{i}") * F.col(f"x{j}")) / F.count("*")).alias(f"p{i}_{j}") for i, j in pairs],
+        F.array(*[F.max(f"x{i}") > F.min(f"x{i}") for i in range(d)]).alias("varies"),
     )
+
+    def covariance(i: int, j: int):
+        return F.col(f"p{min(i, j)}_{max(i, j)}") - F.col(f"s{i}") * F.col(f"s{j}")
+
     return sums.select(
-        "user_id", "n_rows", "label_mean",
-        F.array(*[f"_m{i}" for i in range(d)]).alias("means"),
-        F.array(*[f"_c{min(i, j)}_{max(i, j)}" for i in range(d) for j in range(d)]).alias("covariance"),
-        F.array(*[f"_y{i}" for i in range(d)]).alias("label_covariance"),
+        "user_id", "n_rows", "varies", (F.col(f"s{d}") + center[d]).alias("label_mean"),
+        F.array(*[F.col(f"s{i}") + center[i] for i in range(d)]).alias("means"),
+        F.array(*[covariance(i, j) for i in range(d) for j in range(d)]).alias("covariance"),
+        F.array(*[covariance(i, d) for i in range(d)]).alias("label_covariance"),
     )
 
 
@@ -70,14 +83,17 @@ def _model_schema(moments: DataFrame) -> T.StructType:
 def _stacks(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     means = np.vstack(batch["means"].to_numpy())
     covariance = np.vstack(batch["covariance"].to_numpy()).reshape(len(batch), means.shape[1], -1)
-    return means, covariance, np.vstack(batch["label_covariance"].to_numpy()), batch["label_mean"].to_numpy()
+    # what a constant feature leaves in its covariances is rounding only
+    varies = np.vstack(batch["varies"].to_numpy()).astype(bool)
+    covariance = covariance * varies[:, :, None] * varies[:, None, :]
+    target = np.vstack(batch["label_covariance"].to_numpy()) * varies
+    return means, covariance, target, batch["label_mean"].to_numpy()
 
 
-def _scaled(means: np.ndarray, covariance: np.ndarray, target: np.ndarray):
+def _scaled(covariance: np.ndarray, target: np.ndarray):
     """Correlations of the varying features; constant ones get scale 0."""
     variance = np.diagonal(covariance, axis1=1, axis2=2)
-    varies = variance > ZERO_VARIANCE * np.maximum(means**2, 1e-300)
-    inverse = np.where(varies, 1.0 / np.sqrt(np.where(varies, variance, 1.0)), 0.0)
+    inverse = np.where(variance > 0, 1.0 / np.sqrt(np.where(variance > 0, variance, 1.0)), 0.0)
     return covariance * inverse[:, :, None] * inverse[:, None, :], target * inverse, inverse
 
 
@@ -101,7 +117,7 @@ def fit_ols(rows: DataFrame, features: Sequence[str], label: str = "label") -> D
             if not len(batch):
                 continue
             means, covariance, target, label_mean = _stacks(batch)
-            correlation, scaled_target, inverse = _scaled(means, covariance, target)
+            correlation, scaled_target, inverse = _scaled(covariance, target)
             values, vectors = np.linalg.eigh(correlation)
             free = values <= RANK_TOLERANCE * np.maximum(values[:, -1:], 1e-300)
             gain = np.where(free, 0.0, 1.0 / np.where(free, 1.0, values))
@@ -137,7 +153,7 @@ def fit_gradient_descent(
                 continue
             means, covariance, target, label_mean = _stacks(batch)
             if standardize:
-                second, first, scale = _scaled(means, covariance, target)
+                second, first, scale = _scaled(covariance, target)
             else:
                 second = covariance + means[:, :, None] * means[:, None, :]
                 first = target + means * label_mean[:, None]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.operators.itemsets import HEAVY_BASKET, occurrences, set_columns
+from earshot.session import stage
 
 
 def association_rules(itemsets: DataFrame, n_baskets: int, size: int = 4) -> DataFrame:
@@ -67,8 +68,8 @@ def associated_items(rows: DataFrame, rules: DataFrame) -> DataFrame:
 
 def match_rules(rows: DataFrame, rules: DataFrame, heavy: int = HEAVY_BASKET) -> DataFrame:
     """``(basket_id, antecedent, consequent)`` where the basket holds the whole antecedent."""
-    keyed = set_columns(rules.select("antecedent", "consequent"), "antecedent", 3)
     names = ["i1", "i2", "i3"]
+    keyed = stage(set_columns(rules.select("antecedent", "consequent"), "antecedent", 3), "keyed-rules")
     hits = occurrences(rows.select("basket_id", "item").distinct(), keyed.select(*names).distinct(), 3, heavy)
     return hits.join(keyed, names).select("basket_id", "antecedent", "consequent")
 

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from earshot.session import stage
+from earshot.session import ship_with_jobs, stage
+
+ship_with_jobs(__name__)
 
 SCORE_DIGITS = 9
 
@@ -63,6 +65,23 @@ def _all_scores(left: pa.Table, right: pa.Table) -> pa.Table:
     return _result(models, songs, rows, columns, scores)
 
 
+def _best(ranked: np.ndarray, n: int) -> np.ndarray:
+    """Mask of at least the ``n`` best finite entries of each row, with few more for ties."""
+    mask = ranked > -np.inf
+    if ranked.shape[1] <= n:
+        return mask
+    limit = -np.partition(-ranked, n - 1, axis=1)[:, n - 1]
+    mask &= ranked >= limit[:, None]
+    crowded = np.flatnonzero(mask.sum(axis=1) > 4 * n)
+    if len(crowded):
+        # songs are in id order, so a stable sort settles ties by song id
+        order = np.argsort(-ranked[crowded], axis=1, kind="stable")[:, :n]
+        exact = np.zeros((len(crowded), ranked.shape[1]), dtype=bool)
+        np.put_along_axis(exact, order, True, axis=1)
+        mask[crowded] &= exact
+    return mask
+
+
 def _best_scores(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def best(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -73,12 +92,8 @@ def _best_scores(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         song = pc.index_in(heard["song_id"], songs["song_id"].combine_chunks())
         known = pc.and_(pc.is_valid(user), pc.is_valid(song))
         ranked[user.filter(known).to_numpy(), song.filter(known).to_numpy()] = -np.inf
-        # songs are in id order, so a stable sort settles ties by song id
-        columns = np.argsort(-ranked, axis=1, kind="stable")[:, :n]
-        rows = np.repeat(np.arange(len(ranked)), columns.shape[1])
-        columns = columns.ravel()
-        fresh = ranked[rows, columns] > -np.inf
-        return _result(models, songs, rows[fresh], columns[fresh], scores)
+        rows, columns = np.nonzero(_best(ranked, n))
+        return _result(models, songs, rows, columns, scores)
 
     return best
 

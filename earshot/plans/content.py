@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from earshot.operators.features import drop_nan
 from earshot.operators.regression import fit_gradient_descent, fit_ols, labelled
 from earshot.operators.scoring import recommend_top_n
+from earshot.session import stage
 
 
 def recommend_by_content(
@@ -22,5 +23,5 @@ def recommend_by_content(
     """
     usable = drop_nan(songs, list(required or features))
     fit = {"descent": fit_gradient_descent, "exact": fit_ols}[method]
-    models = fit(labelled(plays, usable, features), features, **settings)
+    models = fit(stage(labelled(plays, usable, features), "labelled"), features, **settings)
     return recommend_top_n(models, usable, features, plays, n)

@@ -18,9 +18,13 @@ def user_profile(
     plays: DataFrame, song_tracks: DataFrame, track_paths: DataFrame, songs: DataFrame,
     features: Sequence[str] = tuple(PROFILE_FEATURES), line: str = "line",
 ) -> DataFrame:
-    """One row per listener and track, with play count, scaled label and imputed features."""
+    """One row per listener and track, with play count, scaled label and imputed features.
+
+    The rows come from several joins and are compared with statistics of their
+    listener twice, so they are staged once.
+    """
     counts = user_play_counts(plays, song_tracks, track_paths, line).drop(line)
-    rows = user_features(counts, songs.select("track_id", *features))
+    rows = stage(user_features(counts, songs.select("track_id", *features)), "profile-rows")
     return impute_mean(minmax_label(rows), features)
 
 

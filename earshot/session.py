@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 SESSION_SETTINGS = {
@@ -78,3 +80,8 @@ def release_staged(spark: SparkSession) -> int:
         target = jvm.org.apache.hadoop.fs.Path(_staged_paths.pop())
         removed += bool(target.getFileSystem(conf).delete(target, True))
     return removed
+
+
+def ship_with_jobs(module_name: str) -> None:
+    """Send a module's task functions inside the job, so that executors need not have the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])

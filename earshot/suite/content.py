@@ -154,7 +154,7 @@ def _model_columns(models):
 
 
 def _labelled(spark, folder):
-    return G.labelled(T.plays(spark, folder), T.features(spark, folder), NAMES)
+    return stage(G.labelled(T.plays(spark, folder), T.features(spark, folder), NAMES), "labelled")
 
 
 @query(with_tables("plays features", MODEL_COLUMNS, {**LABELLED, **_solved("labelled")}))
@@ -195,7 +195,7 @@ def elastic_net_model(spark, folder):
 @query(with_tables("plays features", """SELECT user_id, song_id, round(w1 * size + w2 * price + b, 6) AS prediction
     FROM labelled JOIN models USING (user_id)""", {**LABELLED, **_solved("labelled")}))
 def linear_predictions(spark, folder):
-    rows = stage(_labelled(spark, folder), "labelled")
+    rows = _labelled(spark, folder)
     predicted = G.predict_linear(G.fit_ols(rows, NAMES), rows, NAMES)
     return _rounded(predicted.select("user_id", "song_id", "prediction"), "prediction")
 
@@ -204,7 +204,7 @@ def linear_predictions(spark, folder):
     round(sqrt(avg(e * e)), 6) AS rmse FROM (SELECT label - (w1 * size + w2 * price + b) AS e
     FROM labelled JOIN models USING (user_id))""", {**LABELLED, **_solved("labelled")}))
 def training_error(spark, folder):
-    rows = stage(_labelled(spark, folder), "labelled")
+    rows = _labelled(spark, folder)
     return _rounded(G.mse(G.predict_linear(G.fit_ols(rows, NAMES), rows, NAMES)), "mse", "rmse")
 
 

@@ -16,7 +16,8 @@ from earshot.suite.tables import with_tables
 
 
 def _ratings(spark, folder, scale="log2"):
-    return stage(R.to_ratings(T.plays(spark, folder), scale), "ratings")
+    plays = stage(T.plays(spark, folder), "plays")
+    return stage(R.to_ratings(plays, scale), "ratings")
 
 
 def _first_listener(ratings):
@@ -169,12 +170,16 @@ def _joined(df, *columns):
     return df.select(*[F.array_join(c, "|").alias(c) if c in columns else c for c in df.columns])
 
 
+def _baskets(spark, folder):
+    return stage(T.order_brands(spark, folder), "order-brands")
+
+
 def _itemsets(spark, folder):
     return I.frequent_itemsets(T.order_brands(spark, folder))
 
 
-def _rules(spark, folder):
-    return stage(mine_rules(T.order_brands(spark, folder)), "rules")
+def _rules(rows):
+    return stage(mine_rules(rows), "rules")
 
 
 @query(with_tables("order_brands", "SELECT * FROM itemsets", ITEMSETS))
@@ -216,7 +221,7 @@ def surviving_items(spark, folder):
 @query(with_tables("order_brands", """SELECT antecedent, consequent, round(confidence, 9) AS confidence,
     round(interest, 9) AS interest FROM all_rules""", RULES))
 def association_rules(spark, folder):
-    rows = T.order_brands(spark, folder)
+    rows = _baskets(spark, folder)
     n_baskets = rows.select("basket_id").distinct().count()
     rules = U.association_rules(I.frequent_itemsets(rows), n_baskets)
     return _rounded(_joined(rules, "antecedent"), "confidence", "interest", digits=9)
@@ -225,31 +230,33 @@ def association_rules(spark, folder):
 @query(with_tables("order_brands", """SELECT antecedent, consequent, round(confidence, 9) AS confidence,
     round(interest, 9) AS interest FROM rules ORDER BY confidence, antecedent, consequent""", RULES))
 def ranked_rules(spark, folder):
-    rules = U.rank_rules(_rules(spark, folder))
+    rules = U.rank_rules(_rules(_baskets(spark, folder)))
     return _rounded(_joined(rules, "antecedent"), "confidence", "interest", digits=9)
 
 
 @query(with_tables("order_brands", """SELECT antecedent, consequent, round(confidence, 9) AS confidence
     FROM best""", RULES))
 def best_rules(spark, folder):
-    return _rounded(_joined(U.best_rule(_rules(spark, folder)), "antecedent"), "confidence", digits=9)
+    rows = _baskets(spark, folder)
+    return _rounded(_joined(U.best_rule(_rules(rows)), "antecedent"), "confidence", digits=9)
 
 
 @query(with_tables("order_brands", "SELECT item FROM rule_items", RULES))
 def rule_items(spark, folder):
-    return U.rule_items(_rules(spark, folder))
+    return U.rule_items(_rules(_baskets(spark, folder)))
 
 
 @query(with_tables("order_brands", """SELECT basket_id, item FROM order_brands
     WHERE item IN (SELECT item FROM rule_items)""", RULES))
 def associated_items(spark, folder):
-    return U.associated_items(T.order_brands(spark, folder), _rules(spark, folder))
+    rows = _baskets(spark, folder)
+    return U.associated_items(rows, _rules(rows))
 
 
 @query(with_tables("order_brands", "SELECT basket_id, antecedent, consequent FROM matched", RULES))
 def matched_rules(spark, folder):
-    best = U.best_rule(_rules(spark, folder))
-    return _joined(U.match_rules(T.order_brands(spark, folder), best), "antecedent")
+    rows = _baskets(spark, folder)
+    return _joined(U.match_rules(rows, U.best_rule(_rules(rows))), "antecedent")
 
 
 RULE_RECS = """SELECT DISTINCT m.basket_id, m.consequent AS item FROM matched m"""
@@ -258,14 +265,14 @@ RULE_RECS = """SELECT DISTINCT m.basket_id, m.consequent AS item FROM matched m"
 @query(with_tables("order_brands", RULE_RECS + """ WHERE NOT EXISTS (SELECT 1 FROM order_brands h
     WHERE h.basket_id = m.basket_id AND h.item = m.consequent)""", RULES))
 def rule_recommendations(spark, folder):
-    return U.rule_recommendations(T.order_brands(spark, folder), _rules(spark, folder))
+    rows = _baskets(spark, folder)
+    return U.rule_recommendations(rows, _rules(rows))
 
 
 @query(with_tables("order_brands", RULE_RECS, RULES))
 def rule_recommendations_with_heard(spark, folder):
-    return U.rule_recommendations(
-        T.order_brands(spark, folder), _rules(spark, folder), exclude_heard=False
-    )
+    rows = _baskets(spark, folder)
+    return U.rule_recommendations(rows, _rules(rows), exclude_heard=False)
 
 
 # ---- blended recommendations for the first orders with enough brands, scored on later plays ----
