@@ -2,8 +2,8 @@
 
 Scoring every song for every listener is a matrix product. It is computed by
 blocks: models and songs are split by hash into blocks of bounded size, each
-pair of blocks is one task-sized product, and for ranked lists each block hands
-on only its best songs per listener.
+pair of blocks is one product worked off in chunks, and for ranked lists each
+pair hands on only its best songs per listener.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from earshot.session import ship_with_jobs, stage
 ship_with_jobs(__name__)
 
 SCORE_DIGITS = 9
+CHUNK_SCORES = 1 << 20
 
 
 def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
@@ -30,22 +31,29 @@ def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
     return flat.reshape(rows, -1) if rows else flat.reshape(0, 1)
 
 
-def _cell_scores(left: pa.Table, right: pa.Table):
-    """Score matrix of one cell, listeners by songs in song order, and the heard mask's indices."""
+def _cell(left: pa.Table, right: pa.Table):
+    """Models, heard rows and songs in id order of one cell."""
     is_model = pc.is_valid(left["intercept"])
-    models, heard = left.filter(is_model), left.filter(pc.invert(is_model))
-    songs = right.sort_by("song_id")
+    return left.filter(is_model), left.filter(pc.invert(is_model)), right.sort_by("song_id")
+
+
+def _score_chunks(models: pa.Table, songs: pa.Table):
+    """Score matrices, listeners by songs, of as many listeners at a time as fit in memory."""
     weights = _matrix(models["weights"], models.num_rows)
-    scores = weights @ _matrix(songs["values"], songs.num_rows).T
-    scores += models["intercept"].to_numpy()[:, None]
-    return models, heard, songs, scores
+    values = _matrix(songs["values"], songs.num_rows).T
+    intercepts = models["intercept"].to_numpy()
+    at_once = max(1, CHUNK_SCORES // max(1, songs.num_rows))
+    for start in range(0, models.num_rows, at_once):
+        chunk = slice(start, start + at_once)
+        yield start, weights[chunk] @ values + intercepts[chunk, None]
 
 
-def _result(models: pa.Table, songs: pa.Table, rows: np.ndarray, columns: np.ndarray, scores: np.ndarray) -> pa.Table:
+def _result(models: pa.Table, songs: pa.Table, found: list[tuple[np.ndarray, ...]]) -> pa.Table:
+    rows, columns, scores = (np.concatenate(parts) for parts in zip(*found))
     return pa.table({
         "user_id": models["user_id"].combine_chunks().take(pa.array(rows)),
         "song_id": songs["song_id"].combine_chunks().take(pa.array(columns)),
-        "score": pa.array(scores[rows, columns]),
+        "score": pa.array(scores),
     })
 
 
@@ -58,11 +66,14 @@ def _empty(left: pa.Table, right: pa.Table) -> pa.Table:
 
 
 def _all_scores(left: pa.Table, right: pa.Table) -> pa.Table:
-    if not left.num_rows or not right.num_rows:
+    models, _, songs = _cell(left, right)
+    if not models.num_rows or not songs.num_rows:
         return _empty(left, right)
-    models, _, songs, scores = _cell_scores(left, right)
-    rows, columns = np.indices(scores.shape).reshape(2, -1)
-    return _result(models, songs, rows, columns, scores)
+    found = []
+    for start, scores in _score_chunks(models, songs):
+        rows, columns = np.indices(scores.shape).reshape(2, -1)
+        found.append((rows + start, columns, scores.ravel()))
+    return _result(models, songs, found)
 
 
 def _best(ranked: np.ndarray, n: int) -> np.ndarray:
@@ -84,16 +95,23 @@ def _best(ranked: np.ndarray, n: int) -> np.ndarray:
 
 def _best_scores(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def best(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
+        models, heard, songs = _cell(left, right)
+        if not models.num_rows or not songs.num_rows:
             return _empty(left, right)
-        models, heard, songs, scores = _cell_scores(left, right)
-        ranked = np.round(scores, SCORE_DIGITS)
         user = pc.index_in(heard["user_id"], models["user_id"].combine_chunks())
         song = pc.index_in(heard["song_id"], songs["song_id"].combine_chunks())
         known = pc.and_(pc.is_valid(user), pc.is_valid(song))
-        ranked[user.filter(known).to_numpy(), song.filter(known).to_numpy()] = -np.inf
-        rows, columns = np.nonzero(_best(ranked, n))
-        return _result(models, songs, rows, columns, scores)
+        user, song = user.filter(known).to_numpy(), song.filter(known).to_numpy()
+        order = np.argsort(user, kind="stable")
+        user, song = user[order], song[order]
+        found = []
+        for start, scores in _score_chunks(models, songs):
+            ranked = np.round(scores, SCORE_DIGITS)
+            here = slice(*np.searchsorted(user, [start, start + len(scores)]))
+            ranked[user[here] - start, song[here]] = -np.inf
+            rows, columns = np.nonzero(_best(ranked, n))
+            found.append((rows + start, columns, scores[rows, columns]))
+        return _result(models, songs, found)
 
     return best
 
@@ -103,7 +121,10 @@ def _score_cells(
     function: Callable[[pa.Table, pa.Table], pa.Table], users_per_block: int, songs_per_block: int,
 ) -> DataFrame:
     models = stage(models.select("user_id", "weights", "intercept"), "models")
-    user_blocks = models.count() // users_per_block + 1
+    n_users = models.count()
+    # large blocks are copied least; small data still gets a cell for every core
+    spread = 2 * models.sparkSession.sparkContext.defaultParallelism
+    user_blocks = max(n_users // users_per_block + 1, min(spread, n_users // 256 + 1))
     song_blocks = songs.count() // songs_per_block + 1
 
     def block(column: str, count: int):
@@ -120,7 +141,7 @@ def _score_cells(
     )
     if heard is not None:
         # a heard song goes to the one cell of its listener and song
-        left = left.unionByName(heard.join(models, "user_id", "left_semi").select(
+        left = left.unionByName(heard.select(
             user_block, block("song_id", song_blocks).alias("song_block"), "user_id",
             F.col("song_id").cast(song_type).alias("song_id"),
             F.lit(None).cast("array<double>").alias("weights"), F.lit(None).cast("double").alias("intercept"),
@@ -147,7 +168,7 @@ def score_all(
 
 def recommend_top_n(
     models: DataFrame, songs: DataFrame, features: Sequence[str], plays: DataFrame, n: int = 10,
-    users_per_block: int = 1024, songs_per_block: int = 2048,
+    users_per_block: int = 32_768, songs_per_block: int = 32_768,
 ) -> DataFrame:
     """The ``n`` best unheard songs of each listener as ``place`` 1…n, ties by song id."""
     heard = plays.select("user_id", "song_id").distinct()
