@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from earshot.functions.columns import canonical
 from earshot.operators.ratings import qualified_plays
 from earshot.session import stage
 
@@ -173,5 +174,5 @@ def surviving_items(itemsets: DataFrame, max_size: int) -> DataFrame:
 
 def set_columns(sets: DataFrame, column: str, k: int) -> DataFrame:
     """An itemset array column as the columns ``i1…ik``, in canonical order."""
-    ordered = F.array_sort(column)
+    ordered = canonical(F.col(column))
     return sets.select("*", *[F.get(ordered, F.lit(p)).alias(name) for p, name in enumerate(_names(k))])

@@ -26,7 +26,10 @@ def min_user_items(plays: DataFrame, min_rows: int = 5) -> DataFrame:
 
 
 def qualified_plays(plays: DataFrame, min_item_users: int = 10, min_user_songs: int = 5) -> DataFrame:
-    """The song threshold, then the listener threshold; songs are not checked again."""
+    """The song threshold, then the listener threshold; songs are not checked again.
+
+    ``plays`` is read several times: pass a stored table or a staged one.
+    """
     return min_user_items(min_item_support(plays, min_item_users), min_user_songs)
 
 

@@ -194,11 +194,14 @@ def order_baskets(spark, folder):
 
 
 @query(with_tables("order_brands", """SELECT basket_id, item FROM order_brands WHERE item IN
-    (SELECT item FROM order_brands GROUP BY 1 HAVING count(*) >= 2200)"""))
+    (SELECT item FROM order_brands GROUP BY 1
+        HAVING count(*) >= (SELECT CAST(count(*) AS DOUBLE) / count(DISTINCT item) FROM order_brands))"""))
 def pruned_baskets(spark, folder):
-    rows = T.order_brands(spark, folder)
-    often = rows.groupBy("item").agg(F.count("*").alias("n")).where(F.col("n") >= 2200)
-    return I.prune_baskets(rows, often)
+    """Basket rows of the items that are in at least as many baskets as the average item."""
+    rows = _baskets(spark, folder)
+    counts = rows.groupBy("item").agg(F.count("*").alias("n"))
+    mean = counts.agg(F.avg("n")).first()[0]
+    return I.prune_baskets(rows, counts.where(F.col("n") >= F.lit(mean)))
 
 
 @query(with_tables("order_brands", """SELECT DISTINCT size, item FROM (
