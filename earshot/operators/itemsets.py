@@ -152,8 +152,8 @@ def frequent_itemsets(
         if level.isEmpty():
             break
         levels.append(level)
-        if k < max_size:
-            found = stage(grown.join(level, names, "left_semi"), f"occurrences-{k}")
+        # not staged: growing the few levels again costs less than writing all their rows
+        found = grown.join(level, names, "left_semi").select("basket_id", *names)
 
     return reduce(DataFrame.unionByName, [
         level.select(F.array(*_names(k)).alias("itemset"), F.lit(k).alias("size"), "support")
