@@ -37,6 +37,14 @@ def fold_of(id_column: Column, folds: int) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(folds).cast("bigint"))
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with a unique ``row_tag``, for use by one job that stores what comes of it.
+
+    Read again, rows may get other tags; ``tagged`` stores them.
+    """
+    return rows.withColumn(TAG, F.monotonically_increasing_id())
+
+
 def tagged(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` written once with a unique ``row_tag`` as last column.
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import TAG, tagged
+from earshot.llm.common import TAG, numbered
 from earshot.llm.components import connected_components, over_groups, split_hot
 from earshot.session import ship_with_jobs, stage
 
@@ -204,7 +204,7 @@ def near_vectors(
     Rows with a repeated id are vectors of their own. An empty table gives no
     rows.
     """
-    source = tagged(table.select(id_column, vector_column, label_column), "vectors")
+    source = numbered(table.select(id_column, vector_column, label_column))
     vector = F.col(vector_column).cast("array<double>")
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = (F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0)

@@ -17,7 +17,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import TAG, lower_ascii, tagged
+from earshot.llm.common import TAG, lower_ascii, numbered
 from earshot.session import stage
 
 WORD_BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -106,7 +106,7 @@ def scan(
     if any(len(text.split()) > step for _, text in templates):
         raise ValueError(f"a template may have at most {step} words")
     vocabulary = sorted({word for _, _, words in sets for word in words})
-    source = tagged(docs.select(id_column, text_column), "license-input")
+    source = numbered(docs.select(id_column, text_column))
 
     words = F.split(F.trim("plain"), " ")
     hits = F.array_intersect(words, F.array(*map(F.lit, vocabulary)))

@@ -13,7 +13,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from earshot.llm.common import TAG, tagged, untagged, word_count
+from earshot.llm.common import TAG, numbered, tagged, untagged, word_count
 from earshot.session import stage
 
 WEIGHTS = (5, 2, 1)
@@ -66,7 +66,7 @@ def mix(
     texts have size 0 and are taken in whole rounds only. ``16 ** key_digits``
     ranges of keys per source bound what one task sorts.
     """
-    source = docs if has_tags else tagged(docs.select(id_column, text_column, source_column), "mix-input")
+    source = docs if has_tags else numbered(docs.select(id_column, text_column, source_column))
     name = F.col(source_column).cast("string")
     key = F.md5(F.coalesce(F.col(id_column).cast("string"), F.lit("")))
     rows = stage(
