@@ -32,6 +32,24 @@ CATALOG_FIELDS = {
     "Year": "musicbrainz.year",
 }
 
+# The columns of a song feature file, and the song field of each.
+FEATURE_FIELDS = {
+    "title": "title", "songId": "song_id", "artistId": "artist_id", "artistfamilarity": "artist_familiarity",
+    "artistHotness": "artist_hotttnesss", "songHotness": "song_hotttnesss", "songEnfOfFadeIn": "end_of_fade_in",
+    "startFadeout": "start_of_fade_out", "energy": "energy", "loudness": "loudness", "albumID": "release_7digitalid",
+    "albumName": "release", "artistName": "artist_name", "danceability": "danceability", "duration": "duration",
+    "keySignatureConfidence": "key_confidence", "tempo": "tempo", "timeSignature": "time_signature",
+    "timeSignatureConfidence": "time_signature_confidence", "year": "year",
+}
+
+# The columns of a listener's feature file, and the song field of each.
+PROFILE_FIELDS = {
+    "trackID": "track_id", "songID": "song_id", "artistFamiliarity": "artist_familiarity",
+    "artistHottness": "artist_hotttnesss", "artistName": "artist_name", "duration": "duration",
+    "dancebility": "danceability", "endOfFadeIn": "end_of_fade_in", "energy": "energy", "loudness": "loudness",
+    "songHotness": "song_hotttnesss", "tempo": "tempo", "songTitle": "title",
+}
+
 
 def select_attrs(df: DataFrame, attributes: str | Sequence[str]) -> DataFrame:
     """Columns named in ``"Title, Tempo"`` in any case; an unknown name is an error."""
@@ -58,6 +76,20 @@ def song_scalars(songs: DataFrame, fields: Sequence[str] | None = None) -> DataF
     return songs.select(*[scalar_field(name) for name in fields])
 
 
+def _from_fields(songs: DataFrame, fields: Mapping[str, str], types: Mapping[str, str]) -> DataFrame:
+    return songs.select(*[scalar_field(field).cast(types[name]).alias(name) for name, field in fields.items()])
+
+
+def song_features(songs: DataFrame) -> DataFrame:
+    """Song records to the 20 columns of a song feature file; NaN becomes NULL."""
+    return _from_fields(songs, FEATURE_FIELDS, schemas.SONG_FEATURE_TYPES)
+
+
+def profile_features(songs: DataFrame) -> DataFrame:
+    """Song records to the 13 columns of a listener's feature file; NaN becomes NULL."""
+    return _from_fields(songs, PROFILE_FIELDS, schemas.USER_FEATURE_TYPES)
+
+
 def catalog_rows(songs: DataFrame, attrs: str | None = None) -> DataFrame:
     """The numbered catalog of song records, by default with all 17 attributes.
 

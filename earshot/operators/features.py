@@ -1,7 +1,8 @@
 """Joins of plays with song features, labels and imputation.
 
-Per-listener statistics are grouped aggregates joined back, so that a listener
-with very many rows is never gathered in one window partition.
+Per-listener statistics are grouped aggregates, stored and joined back: both
+sides of that join are plain shuffles, which adaptive execution splits where a
+listener has very many rows.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions.columns import file_stem
 from earshot.operators.ordering import dedup
+from earshot.session import stage
 
 # The 14 numeric columns used for regression, and the first six, which must be present.
 NUMERIC_FEATURES = [
@@ -83,6 +85,29 @@ def attach_play_count(features: DataFrame, counts: DataFrame) -> DataFrame:
     return features.join(counts.select("user_id", "track_id", "play_count"), ["user_id", "track_id"])
 
 
+def _limits(column: str) -> list:
+    return [F.min(column).alias("_low"), F.max(column).alias("_high")]
+
+
+def _means(columns: Sequence[str]) -> list:
+    return [F.avg(c).alias(f"_mean_{c}") for c in columns]
+
+
+def _scaled_label(column: str):
+    spread = F.col("_high") - F.col("_low")
+    return F.when(spread == 0, F.lit(0.0)).otherwise((F.col(column) - F.col("_low")) / spread)
+
+
+def _with_statistics(df: DataFrame, statistics: list, group: str, train: str | None) -> DataFrame:
+    fitted = df.where(F.col(train)) if train else df
+    return df.join(stage(fitted.groupBy(group).agg(*statistics), "group-statistics"), group)
+
+
+def _filled(df: DataFrame, columns: Sequence[str]) -> list:
+    filled = {c: F.coalesce(F.col(c), F.col(f"_mean_{c}"), F.lit(0.0)).alias(c) for c in columns}
+    return [filled.get(c, F.col(c)) for c in df.columns]
+
+
 def minmax_label(
     df: DataFrame, column: str = "play_count", group: str = "user_id", label: str = "label",
     train: str | None = None,
@@ -91,18 +116,20 @@ def minmax_label(
 
     With ``train`` (a boolean column) the range is taken from those rows only.
     """
-    fitted = df.where(F.col(train)) if train else df
-    limits = fitted.groupBy(group).agg(F.min(column).alias("_low"), F.max(column).alias("_high"))
-    spread = F.col("_high") - F.col("_low")
-    scaled = F.when(spread == 0, F.lit(0.0)).otherwise((F.col(column) - F.col("_low")) / spread)
-    return df.join(limits, group).select(*df.columns, scaled.alias(label))
+    joined = _with_statistics(df, _limits(column), group, train)
+    return joined.select(*df.columns, _scaled_label(column).alias(label))
 
 
 def impute_mean(
     df: DataFrame, columns: Sequence[str], group: str = "user_id", train: str | None = None
 ) -> DataFrame:
     """Missing values become the mean of their group, or 0 where the group has none."""
-    fitted = df.where(F.col(train)) if train else df
-    means = fitted.groupBy(group).agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns])
-    filled = {c: F.coalesce(F.col(c), F.col(f"_mean_{c}"), F.lit(0.0)).alias(c) for c in columns}
-    return df.join(means, group).select(*[filled.get(c, F.col(c)) for c in df.columns])
+    return _with_statistics(df, _means(columns), group, train).select(*_filled(df, columns))
+
+
+def label_and_impute(
+    df: DataFrame, columns: Sequence[str], column: str = "play_count", group: str = "user_id", label: str = "label"
+) -> DataFrame:
+    """``minmax_label`` and ``impute_mean`` with one aggregate and one join."""
+    joined = _with_statistics(df, [*_limits(column), *_means(columns)], group, None)
+    return joined.select(*_filled(df, columns), _scaled_label(column).alias(label))

@@ -1,10 +1,10 @@
 """Baskets and frequent itemsets.
 
 Baskets are kept in long form, ``(basket_id, item)``. Itemsets are grown level
-by level: two frequent sets of a basket that differ in their last item make one
-larger candidate. A basket of very many items would make very many candidates,
-so such baskets take another exact way: they are only asked which of the
-candidates already found elsewhere they contain.
+by level: candidates are joins of frequent sets all of whose subsets are
+frequent, and only occurrences of candidates are counted. The occurrences of a
+level are stored once and extended to the next. A large basket is dealt into
+parts by its items, so that its pairs are formed by many tasks.
 """
 
 from __future__ import annotations
@@ -18,7 +18,9 @@ from earshot.functions.columns import canonical
 from earshot.operators.ratings import qualified_plays
 from earshot.session import stage
 
-HEAVY_BASKET = 256
+# items of a basket that one part pairs with the others
+PART_ITEMS = 64
+# items of one array of a basket
 BASKET_LIMIT = 100_000
 
 
@@ -35,11 +37,16 @@ def to_baskets(rows: DataFrame, limit: int = BASKET_LIMIT) -> DataFrame:
     A basket beyond ``limit`` items is spread over several parts by hash, so no
     array grows with the data; all others have the single part 0.
     """
-    counts = rows.groupBy("basket_id").agg(F.ceil(F.count("*") / F.lit(limit)).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("item"), F.col("parts")).cast("int").alias("part")
+    counts = stage(
+        rows.groupBy("basket_id").agg(F.ceil(F.count("*") / F.lit(limit)).cast("int").alias("parts")), "basket-parts"
+    )
+    part = F.pmod(F.xxhash64("item"), F.col("parts")).cast("int")
     return (
         rows.join(counts, "basket_id")
-        .groupBy("basket_id", part)
+        .select("basket_id", part.alias("part"), "item")
+        # without this the parts of a basket would stay together where the join left them
+        .repartition("basket_id", "part")
+        .groupBy("basket_id", "part")
         .agg(F.sort_array(F.collect_set("item")).alias("items"))
     )
 
@@ -53,19 +60,40 @@ def _names(k: int) -> list[str]:
     return [f"i{p}" for p in range(1, k + 1)]
 
 
-def _extend(occurrences: DataFrame, k: int) -> DataFrame:
+def _extend(found: DataFrame, k: int) -> DataFrame:
     """Occurrences of ``k - 1`` items to occurrences of ``k``, within each basket.
 
-    Both sides rename their columns in the same way up to the last one, so that
-    the two shuffles are one and the same exchange.
+    A row meets the rows of its prefix part by part; a basket has as many parts
+    as its size asks for, so a large one is spread over as many tasks.
     """
     prefix = _names(k - 2)
-    keys = ["basket_id", *prefix]
-    left = occurrences.select(*keys, F.col(f"i{k - 1}").alias("a"))
-    right = occurrences.select(*keys, F.col(f"i{k - 1}").alias("b"))
+    keys = ["basket_id", *prefix, "at"]
+    left = found.select(
+        "basket_id", *prefix, F.pmod(F.xxhash64(f"i{k - 1}"), F.col("parts")).alias("at"), F.col(f"i{k - 1}").alias("a")
+    )
+    right = found.select(
+        "basket_id", *prefix, F.explode(F.expr("sequence(0L, parts - 1)")).alias("at"), F.col(f"i{k - 1}").alias("b"),
+        "parts",
+    )
     return left.join(right, keys).where("a < b").select(
-        "basket_id", *prefix, F.col("a").alias(f"i{k - 1}"), F.col("b").alias(f"i{k}")
+        "basket_id", "parts", *prefix, F.col("a").alias(f"i{k - 1}"), F.col("b").alias(f"i{k}")
+    )
+
+
+def _candidates(level: DataFrame, k: int) -> DataFrame:
+    """Sets of ``k`` items all of whose subsets of ``k - 1`` items are in ``level``."""
+    names, prefix = _names(k), _names(k - 2)
+    left = level.select(*prefix, F.col(f"i{k - 1}").alias("a"))
+    right = level.select(*prefix, F.col(f"i{k - 1}").alias("b"))
+    sets = left.join(right, prefix).where("a < b").select(
+        *prefix, F.col("a").alias(f"i{k - 1}"), F.col("b").alias(f"i{k}")
     )
+    # the two subsets that end in the joined items are frequent by construction
+    for gone in range(k - 2):
+        rest = [n for i, n in enumerate(names) if i != gone]
+        known = level.select(*[F.col(own).alias(n) for own, n in zip(_names(k - 1), rest)])
+        sets = sets.join(known, rest, "left_semi").select(*names)
+    return sets
 
 
 def contained_sets(rows: DataFrame, sets: DataFrame, k: int) -> DataFrame:
@@ -85,41 +113,22 @@ def contained_sets(rows: DataFrame, sets: DataFrame, k: int) -> DataFrame:
     return found.select("basket_id", *_names(k))
 
 
-def occurrences(rows: DataFrame, sets: DataFrame, k: int, heavy: int = HEAVY_BASKET) -> DataFrame:
-    """``(basket_id, i1…ik)`` for each of the given sets in each basket.
-
-    Ordinary baskets grow their own pairs, cut to the wanted prefixes at each
-    step; baskets of more than ``heavy`` items look the sets up instead.
-    """
+def occurrences(rows: DataFrame, sets: DataFrame, k: int) -> DataFrame:
+    """``(basket_id, i1…ik)`` for each of the given sets in each basket."""
     wanted = reduce(
         DataFrame.unionByName, [sets.select(F.col(c).alias("item")) for c in _names(k)]
     ).distinct()
-    rows = stage(prune_baskets(rows, wanted), "basket-rows")
-    sizes = rows.groupBy("basket_id").agg(F.count("*").alias("n"))
-    large = sizes.where(F.col("n") > heavy)
-    light = rows if large.isEmpty() else rows.join(large, "basket_id", "left_anti")
-    found = light.select("basket_id", F.col("item").alias("i1"))
-    for size in range(2, k + 1):
-        found = found.join(light, "basket_id").where(F.col("item") > F.col(f"i{size - 1}"))
-        found = found.withColumnRenamed("item", f"i{size}").join(
-            sets.select(*_names(size)).distinct(), _names(size), "left_semi"
-        )
-    found = found.select("basket_id", *_names(k))
-    if light is rows:
-        return found
-    return found.unionByName(contained_sets(rows.join(large, "basket_id", "left_semi"), sets, k))
+    return contained_sets(stage(prune_baskets(rows, wanted), "basket-rows"), sets, k)
 
 
 def frequent_itemsets(
-    rows: DataFrame, min_support: int = 15, max_size: int = 4, heavy: int = HEAVY_BASKET
+    rows: DataFrame, min_support: int = 15, max_size: int = 4, part_items: int = PART_ITEMS
 ) -> DataFrame:
     """``(itemset, size, support)`` of all sets of up to ``max_size`` items in at least
     ``min_support`` baskets.
 
-    The largest baskets beyond ``heavy`` items, fewer than ``min_support`` of
-    them, form no candidates. They cannot make a set frequent on their own, so a
-    frequent set has at least ``min_support`` less their number among the other
-    baskets; the sets that reach this are then looked up in the large baskets.
+    The same plan at every basket size; ``part_items`` only says how finely a
+    large basket is spread.
     """
     rows = stage(rows.select("basket_id", "item").distinct(), "baskets")
     singles = stage(
@@ -129,31 +138,25 @@ def frequent_itemsets(
     )
     levels = [singles]
     kept = rows.join(singles.select(F.col("i1").alias("item")), "item", "left_semi")
-    sizes = kept.groupBy("basket_id").agg(F.count("*").alias("n")).where(F.col("n") > heavy)
-    # at most min_support - 1 ids come to the driver
-    large = [r["basket_id"] for r in sizes.orderBy(F.desc("n"), "basket_id").limit(min_support - 1).collect()]
-    is_large = F.col("basket_id").isin(large) if large else F.lit(False)
-    found = kept.where(~is_large).select("basket_id", F.col("item").alias("i1"))
-    large_rows = kept.where(is_large)
+    sizes = stage(
+        kept.groupBy("basket_id").agg(F.ceil(F.count("*") / part_items).cast("bigint").alias("parts")), "basket-sizes"
+    )
+    found = kept.join(sizes, "basket_id").select("basket_id", "parts", F.col("item").alias("i1"))
 
     for k in range(2, max_size + 1):
         names = _names(k)
         grown = _extend(found, k)
-        counted = grown.groupBy(*names).agg(F.count("*").alias("support")).where(
-            F.col("support") >= max(1, min_support - len(large))
-        )
-        if large:
-            counted = stage(counted, f"candidates-{k}")
-            more = contained_sets(large_rows, counted, k).groupBy(*names).agg(F.count("*").alias("more"))
-            counted = counted.join(more, names, "left").select(
-                *names, (F.col("support") + F.coalesce("more", F.lit(0))).alias("support")
-            ).where(F.col("support") >= min_support)
-        level = stage(counted, f"itemsets-{k}")
+        if k > 2:
+            candidates = stage(_candidates(levels[-1], k), f"candidates-{k}")
+            grown = grown.join(candidates, names, "left_semi")
+        if k < max_size:
+            grown = stage(grown, f"occurrences-{k}")
+        counted = grown.groupBy(*names).agg(F.count("*").alias("support"))
+        level = stage(counted.where(F.col("support") >= min_support), f"itemsets-{k}")
         if level.isEmpty():
             break
         levels.append(level)
-        # not staged: growing the few levels again costs less than writing all their rows
-        found = grown.join(level, names, "left_semi").select("basket_id", *names)
+        found = grown.join(level, names, "left_semi").select("basket_id", "parts", *names)
 
     return reduce(DataFrame.unionByName, [
         level.select(F.array(*_names(k)).alias("itemset"), F.lit(k).alias("size"), "support")

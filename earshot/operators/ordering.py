@@ -62,7 +62,7 @@ def positional_split(
         .groupBy(group)
         .agg(F.max(order).alias("_last"))
     )
-    return df.join(last, group).select(*df.columns, (F.col(order) <= F.col("_last")).alias("is_train"))
+    return df.join(stage(last, "boundaries"), group).select(*df.columns, (F.col(order) <= F.col("_last")).alias("is_train"))
 
 
 def top(df: DataFrame, n: int) -> DataFrame:
@@ -70,6 +70,6 @@ def top(df: DataFrame, n: int) -> DataFrame:
     return df.orderBy(*[F.desc(c) for c in df.columns]).limit(n)
 
 
-def head_lines(df: DataFrame, order: Sequence[str], n: int = 100_000) -> DataFrame:
+def head_lines(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows in line order."""
     return df.orderBy(*order).limit(n)

@@ -1,8 +1,9 @@
 """From play counts to mean-centred ratings.
 
 Thresholds are grouped counts joined back by a semi-join, never windows over a
-listener or a song: a count is reduced before the shuffle, and adaptive
-execution can split a hot key in the join.
+listener or a song: a count is reduced before the shuffle. The counts are
+stored before the join, so that both of its sides are plain shuffles: only then
+adaptive execution splits a hot key.
 """
 
 from __future__ import annotations
@@ -11,18 +12,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions.columns import scale_rating
+from earshot.session import stage
 
 
 def min_item_support(plays: DataFrame, min_rows: int = 10) -> DataFrame:
     """Rows of songs that have at least ``min_rows`` rows."""
     kept = plays.groupBy("song_id").agg(F.count("*").alias("n")).where(F.col("n") >= min_rows)
-    return plays.join(kept, "song_id", "left_semi")
+    return plays.join(stage(kept, "songs-with-support"), "song_id", "left_semi")
 
 
 def min_user_items(plays: DataFrame, min_rows: int = 5) -> DataFrame:
     """Rows of listeners that have at least ``min_rows`` rows."""
     kept = plays.groupBy("user_id").agg(F.count("*").alias("n")).where(F.col("n") >= min_rows)
-    return plays.join(kept, "user_id", "left_semi")
+    return plays.join(stage(kept, "active-users"), "user_id", "left_semi")
 
 
 def qualified_plays(plays: DataFrame, min_item_users: int = 10, min_user_songs: int = 5) -> DataFrame:
@@ -36,8 +38,13 @@ def qualified_plays(plays: DataFrame, min_item_users: int = 10, min_user_songs:
 def to_ratings(
     plays: DataFrame, scale: str = "log2", min_item_users: int = 10, min_user_songs: int = 5
 ) -> DataFrame:
-    """``(user_id, song_id, rating)`` of the qualified plays."""
+    """``(user_id, song_id, rating)`` of the qualified plays.
+
+    The thresholds count rows; plays of a listener and song in several rows are
+    then added up to one rating.
+    """
     kept = qualified_plays(plays, min_item_users, min_user_songs)
+    kept = kept.groupBy("user_id", "song_id").agg(F.sum("play_count").alias("play_count"))
     return kept.select("user_id", "song_id", scale_rating(F.col("play_count"), scale).alias("rating"))
 
 
@@ -73,7 +80,7 @@ def _centered() -> Column:
 
 def center_by_item(ratings: DataFrame) -> DataFrame:
     """Add ``centered``, the rating less the mean rating of its song."""
-    return ratings.join(item_stats(ratings), "song_id").select(*ratings.columns, _centered().alias("centered"))
+    return ratings.join(stage(item_stats(ratings), "song-means"), "song_id").select(*ratings.columns, _centered().alias("centered"))
 
 
 def item_norms(ratings: DataFrame) -> DataFrame:
@@ -87,7 +94,7 @@ def unit_rows(ratings: DataFrame) -> DataFrame:
     The cosine of two songs is then the plain sum of products. Songs of norm 0
     have no direction and are left out.
     """
-    stats = item_stats(ratings).where(F.col("norm") > 0)
+    stats = stage(item_stats(ratings).where(F.col("norm") > 0), "song-norms")
     return ratings.join(stats, "song_id").select(
         "user_id", "song_id", ((F.col("rating") - F.col("mean")) / F.col("norm")).alias("unit")
     )

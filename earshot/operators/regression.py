@@ -40,34 +40,26 @@ def labelled(
 def user_moments(rows: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
     """``(user_id, n_rows, means, label_mean, covariance, label_covariance, varies)`` per listener.
 
-    ``covariance`` is the flattened symmetric matrix of the features. The sums
-    are of values less their mean over all rows, which moments do not depend on
-    but which keeps their digits; plain sums are reduced in each task before the
-    shuffle, so a listener with very many rows is no burden. ``rows`` is read
-    twice and should be staged.
+    ``covariance`` is the flattened symmetric matrix of the features. Spark
+    merges centred second moments of parts stably, so a listener far from all
+    others keeps its digits, and reduces them in each task before the shuffle,
+    so one with very many rows is no burden.
     """
     d = len(features)
     names = [*features, label]
-    complete = rows.dropna(subset=names)
-    center = complete.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)]).first()
-    center = [value or 0.0 for value in center]
-    shifted = complete.select("user_id", *[(F.col(c) - F.lit(m)).alias(f"x{i}") for i, (c, m) in enumerate(zip(names, center))])
+    complete = rows.dropna(subset=names).select("user_id", *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)])
     pairs = [(i, j) for i in range(d) for j in range(i, d + 1)]
-    sums = shifted.groupBy("user_id").agg(
+    moments = complete.groupBy("user_id").agg(
         F.count("*").alias("n_rows"),
-        *[(F.sum(f"x{i}") / F.count("*")).alias(f"s{i}") for i in range(d + 1)],
-        *[(F.sum(F.col(f"x{i}") * F.col(f"x{j}")) / F.count("*")).alias(f"p{i}_{j}") for i, j in pairs],
+        *[F.avg(f"x{i}").alias(f"s{i}") for i in range(d + 1)],
+        *[(F.var_pop(f"x{i}") if i == j else F.covar_pop(f"x{i}", f"x{j}")).alias(f"p{i}_{j}") for i, j in pairs],
         F.array(*[F.max(f"x{i}") > F.min(f"x{i}") for i in range(d)]).alias("varies"),
     )
-
-    def covariance(i: int, j: int):
-        return F.col(f"p{min(i, j)}_{max(i, j)}") - F.col(f"s{i}") * F.col(f"s{j}")
-
-    return sums.select(
-        "user_id", "n_rows", "varies", (F.col(f"s{d}") + center[d]).alias("label_mean"),
-        F.array(*[F.col(f"s{i}") + center[i] for i in range(d)]).alias("means"),
-        F.array(*[covariance(i, j) for i in range(d) for j in range(d)]).alias("covariance"),
-        F.array(*[covariance(i, d) for i in range(d)]).alias("label_covariance"),
+    return moments.select(
+        "user_id", "n_rows", "varies", F.col(f"s{d}").alias("label_mean"),
+        F.array(*[F.col(f"s{i}") for i in range(d)]).alias("means"),
+        F.array(*[F.col(f"p{min(i, j)}_{max(i, j)}") for i in range(d) for j in range(d)]).alias("covariance"),
+        F.array(*[F.col(f"p{i}_{d}") for i in range(d)]).alias("label_covariance"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.operators.itemsets import HEAVY_BASKET, occurrences, set_columns
+from earshot.operators.itemsets import occurrences, set_columns
 from earshot.session import stage
 
 
@@ -66,19 +66,17 @@ def associated_items(rows: DataFrame, rules: DataFrame) -> DataFrame:
     return rows.join(rule_items(rules), "item", "left_semi").select("basket_id", "item")
 
 
-def match_rules(rows: DataFrame, rules: DataFrame, heavy: int = HEAVY_BASKET) -> DataFrame:
+def match_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """``(basket_id, antecedent, consequent)`` where the basket holds the whole antecedent."""
     names = ["i1", "i2", "i3"]
     keyed = stage(set_columns(rules.select("antecedent", "consequent"), "antecedent", 3), "keyed-rules")
-    hits = occurrences(rows.select("basket_id", "item").distinct(), keyed.select(*names).distinct(), 3, heavy)
+    hits = occurrences(rows.select("basket_id", "item").distinct(), keyed.select(*names).distinct(), 3)
     return hits.join(keyed, names).select("basket_id", "antecedent", "consequent")
 
 
-def rule_recommendations(
-    rows: DataFrame, rules: DataFrame, exclude_heard: bool = True, heavy: int = HEAVY_BASKET
-) -> DataFrame:
+def rule_recommendations(rows: DataFrame, rules: DataFrame, exclude_heard: bool = True) -> DataFrame:
     """``(basket_id, item)`` recommended by the best rule of each antecedent in the basket."""
-    hits = match_rules(rows, best_rule(rules), heavy)
+    hits = match_rules(rows, best_rule(rules))
     found = hits.select("basket_id", F.col("consequent").alias("item")).distinct()
     if exclude_heard:
         found = found.join(rows.select("basket_id", "item"), ["basket_id", "item"], "left_anti")

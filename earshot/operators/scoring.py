@@ -24,6 +24,8 @@ ship_with_jobs(__name__)
 
 SCORE_DIGITS = 9
 CHUNK_SCORES = 1 << 20
+# heard rows that one cell takes on average, at most
+HEARD_ROWS = 1 << 21
 
 
 def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
@@ -110,7 +112,7 @@ def _best_scores(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             here = slice(*np.searchsorted(user, [start, start + len(scores)]))
             ranked[user[here] - start, song[here]] = -np.inf
             rows, columns = np.nonzero(_best(ranked, n))
-            found.append((rows + start, columns, scores[rows, columns]))
+            found.append((rows + start, columns, ranked[rows, columns]))
         return _result(models, songs, found)
 
     return best
@@ -119,6 +121,7 @@ def _best_scores(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 def _score_cells(
     models: DataFrame, songs: DataFrame, features: Sequence[str], heard: DataFrame | None,
     function: Callable[[pa.Table, pa.Table], pa.Table], users_per_block: int, songs_per_block: int,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     models = stage(models.select("user_id", "weights", "intercept"), "models")
     n_users = models.count()
@@ -126,6 +129,9 @@ def _score_cells(
     spread = 2 * models.sparkSession.sparkContext.defaultParallelism
     user_blocks = max(n_users // users_per_block + 1, min(spread, n_users // 256 + 1))
     song_blocks = songs.count() // songs_per_block + 1
+    if heard is not None:
+        heard = stage(heard, "heard-songs")
+        user_blocks = max(user_blocks, heard.count() // (HEARD_ROWS * song_blocks) + 1)
 
     def block(column: str, count: int):
         return F.pmod(F.xxhash64(column), F.lit(count)).cast("int")
@@ -150,7 +156,7 @@ def _score_cells(
         every(user_blocks).alias("user_block"), block("song_id", song_blocks).alias("song_block"), "song_id",
         F.array(*[F.col(c).cast("double") for c in features]).alias("values"),
     )
-    schema = T.StructType([
+    schema = schema or T.StructType([
         T.StructField("user_id", user_type), T.StructField("song_id", song_type),
         T.StructField("score", T.DoubleType()),
     ])
@@ -166,12 +172,46 @@ def score_all(
     return _score_cells(models, songs, features, None, _all_scores, users_per_block, songs_per_block)
 
 
+def _totals(left: pa.Table, right: pa.Table) -> pa.Table:
+    models, _, songs = _cell(left, right)
+    total, best = np.zeros(songs.num_rows), np.full(songs.num_rows, -np.inf)
+    if models.num_rows and songs.num_rows:
+        for _, scores in _score_chunks(models, songs):
+            total += scores.sum(axis=0)
+            best = np.maximum(best, scores.max(axis=0))
+    return pa.table({
+        "song_id": songs["song_id"].combine_chunks(),
+        "users": pa.array(np.full(songs.num_rows, models.num_rows, dtype=np.int64)),
+        "total": pa.array(total), "best_score": pa.array(best),
+    })
+
+
+def song_scores(
+    models: DataFrame, songs: DataFrame, features: Sequence[str],
+    users_per_block: int = 32_768, songs_per_block: int = 32_768,
+) -> DataFrame:
+    """``(song_id, users, mean_score, best_score)`` over every model, summed up inside the cells."""
+    schema = T.StructType([
+        songs.schema["song_id"], T.StructField("users", T.LongType()), T.StructField("total", T.DoubleType()),
+        T.StructField("best_score", T.DoubleType()),
+    ])
+    cells = _score_cells(models, songs, features, None, _totals, users_per_block, songs_per_block, schema)
+    return cells.groupBy("song_id").agg(
+        F.sum("users").alias("users"), (F.sum("total") / F.sum("users")).alias("mean_score"),
+        F.max("best_score").alias("best_score"),
+    ).where("users > 0")
+
+
 def recommend_top_n(
     models: DataFrame, songs: DataFrame, features: Sequence[str], plays: DataFrame, n: int = 10,
     users_per_block: int = 32_768, songs_per_block: int = 32_768,
 ) -> DataFrame:
-    """The ``n`` best unheard songs of each listener as ``place`` 1…n, ties by song id."""
+    """The ``n`` best unheard songs of each listener as ``place`` 1…n, ties by song id.
+
+    Scores are rounded once, where they are computed; cells and the last
+    ranking compare the same values.
+    """
     heard = plays.select("user_id", "song_id").distinct()
     scores = _score_cells(models, songs, features, heard, _best_scores(n), users_per_block, songs_per_block)
-    by_score = W.partitionBy("user_id").orderBy(F.desc(F.round("score", SCORE_DIGITS)), "song_id")
+    by_score = W.partitionBy("user_id").orderBy(F.desc("score"), "song_id")
     return scores.select("*", F.row_number().over(by_score).alias("place")).where(F.col("place") <= n)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from earshot.operators.features import (
-    PROFILE_FEATURES, impute_mean, minmax_label, user_features, user_play_counts,
+    PROFILE_FEATURES, label_and_impute, user_features, user_play_counts,
 )
 from earshot.operators.ordering import positional_split
 from earshot.operators.regression import fit_ols, mse, predict_linear
@@ -21,11 +21,11 @@ def user_profile(
     """One row per listener and track, with play count, scaled label and imputed features.
 
     The rows come from several joins and are compared with statistics of their
-    listener twice, so they are staged once.
+    listener, so they are staged once.
     """
     counts = user_play_counts(plays, song_tracks, track_paths, line).drop(line)
     rows = stage(user_features(counts, songs.select("track_id", *features)), "profile-rows")
-    return impute_mean(minmax_label(rows), features)
+    return label_and_impute(rows, features)
 
 
 def profile_errors(

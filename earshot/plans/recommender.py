@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.operators.blend import blend, evaluate
-from earshot.operators.itemsets import basket_items, frequent_itemsets
+from earshot.operators.itemsets import frequent_itemsets
 from earshot.operators.ratings import to_ratings
 from earshot.operators.rules import association_rules, filter_rules, rule_recommendations
 from earshot.operators.similarity import predict_from_ratings
@@ -45,4 +45,4 @@ def recommend_and_evaluate(plays: DataFrame, hidden: DataFrame, users: DataFrame
     return evaluate(listed, hidden.join(users, "user_id", "left_semi"))
 
 
-__all__ = ["basket_items", "mine_rules", "recommend", "recommend_and_evaluate"]
+__all__ = ["mine_rules", "recommend", "recommend_and_evaluate"]

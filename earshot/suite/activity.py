@@ -9,6 +9,7 @@ from earshot.operators import ratings as R
 from earshot.operators import text as X
 from earshot.operators.itemsets import to_baskets
 from earshot.sources.writers import user_path_lists, user_play_map
+from earshot.session import stage
 from earshot.suite import tables as T
 from earshot.suite.registry import query
 from earshot.suite.tables import with_tables
@@ -62,19 +63,19 @@ def plays_per_song(spark, folder):
     UNION ALL SELECT 'users_kept', count(DISTINCT user_id) FROM by_user
     UNION ALL SELECT 'lines_kept', count(*) FROM by_user"""))
 def funnel_counts(spark, folder):
-    return A.funnel_counts(T.plays(spark, folder))
+    return A.funnel_counts(T.stored_plays(spark, folder))
 
 
 @query(with_tables("plays", """SELECT user_id, song_id, play_count FROM plays WHERE song_id IN
     (SELECT song_id FROM plays GROUP BY 1 HAVING count(*) >= 30)"""))
 def min_item_support(spark, folder):
-    return R.min_item_support(T.plays(spark, folder), 30)
+    return R.min_item_support(T.stored_plays(spark, folder), 30)
 
 
 @query(with_tables("plays", """SELECT user_id, song_id, play_count FROM plays WHERE user_id IN
     (SELECT user_id FROM plays GROUP BY 1 HAVING count(*) >= 40)"""))
 def min_user_items(spark, folder):
-    return R.min_user_items(T.plays(spark, folder), 40)
+    return R.min_user_items(T.stored_plays(spark, folder), 40)
 
 
 @query(with_tables("plays", "SELECT user_id, song_id, play_count FROM k2", {
@@ -82,19 +83,19 @@ def min_user_items(spark, folder):
     "k2": "SELECT * FROM k1 WHERE user_id IN (SELECT user_id FROM k1 GROUP BY 1 HAVING count(*) >= 20)",
 }))
 def qualified_plays(spark, folder):
-    return R.qualified_plays(T.plays(spark, folder), 30, 20)
+    return R.qualified_plays(T.stored_plays(spark, folder), 30, 20)
 
 
 @query(with_tables("by_user", "SELECT user_id, song_id, round(rating, 9) AS rating FROM r", {
     "r": "SELECT user_id, song_id, least(CAST(5 AS DOUBLE), log2(play_count) + 1) AS rating FROM by_user"}))
 def log_ratings(spark, folder):
-    rows = R.to_ratings(T.plays(spark, folder), "log2")
+    rows = R.to_ratings(T.stored_plays(spark, folder), "log2")
     return rows.withColumn("rating", F.round("rating", 9))
 
 
 @query(with_tables("by_user", "SELECT user_id, song_id, CAST(play_count AS DOUBLE) AS rating FROM by_user"))
 def raw_ratings(spark, folder):
-    return R.to_ratings(T.plays(spark, folder), "raw")
+    return R.to_ratings(T.stored_plays(spark, folder), "raw")
 
 
 @query(with_tables("plays", """SELECT user_id, song_id, play_count FROM plays
@@ -107,7 +108,7 @@ def plays_of_one_user(spark, folder):
 @query(with_tables("ratings", """SELECT user_id, song_id, round(rating, 9) AS rating FROM ratings
     WHERE song_id IN (SELECT song_id FROM ratings WHERE user_id = (SELECT min(user_id) FROM ratings))"""))
 def rated_items(spark, folder):
-    ratings = R.to_ratings(T.plays(spark, folder))
+    ratings = stage(R.to_ratings(T.stored_plays(spark, folder)), "ratings")
     mine = R.rated_items(ratings, ratings.agg(F.min("user_id")).first()[0])
     return mine.withColumn("rating", F.round("rating", 9))
 
@@ -115,7 +116,7 @@ def rated_items(spark, folder):
 @query(with_tables("ratings", """SELECT user_id, song_id, round(rating, 9) AS rating FROM ratings
     WHERE song_id NOT IN (SELECT song_id FROM ratings WHERE user_id = (SELECT min(user_id) FROM ratings))"""))
 def candidate_items(spark, folder):
-    ratings = R.to_ratings(T.plays(spark, folder))
+    ratings = stage(R.to_ratings(T.stored_plays(spark, folder)), "ratings")
     others = R.candidate_items(ratings, ratings.agg(F.min("user_id")).first()[0])
     return others.withColumn("rating", F.round("rating", 9))
 
@@ -152,9 +153,9 @@ def last_play_of_song(spark, folder):
 
 
 @query(with_tables("lines", """SELECT user_id, song_id, play_count FROM lines
-    ORDER BY line LIMIT 100000"""))
+    ORDER BY line LIMIT 1000"""))
 def head_lines(spark, folder):
-    return O.head_lines(T.lines(spark, folder), ["line"], 100_000).drop("line")
+    return O.head_lines(T.lines(spark, folder), ["line"], 1000).drop("line")
 
 
 @query(with_tables("plays", """SELECT user_id, song_id, play_count FROM plays
@@ -172,13 +173,13 @@ def numbered_plays(spark, folder):
 @query(with_tables("plays", """SELECT user_id, song_id, play_count,
     row_number() OVER (PARTITION BY user_id ORDER BY song_id) <= 21 AS is_train FROM plays"""))
 def positional_split(spark, folder):
-    return O.positional_split(T.plays(spark, folder), 21)
+    return O.positional_split(T.stored_plays(spark, folder), 21)
 
 
 @query(with_tables("plays", """SELECT user_id AS basket_id, CAST(0 AS INTEGER) AS part,
     string_agg(CAST(song_id AS VARCHAR), ',' ORDER BY song_id) AS items FROM plays GROUP BY 1"""))
 def baskets_as_lists(spark, folder):
-    rows = T.plays(spark, folder).select(F.col("user_id").alias("basket_id"), F.col("song_id").alias("item"))
+    rows = T.stored_plays(spark, folder).select(F.col("user_id").alias("basket_id"), F.col("song_id").alias("item"))
     return to_baskets(rows).withColumn("items", F.array_join(F.col("items").cast("array<string>"), ","))
 
 

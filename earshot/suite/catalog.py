@@ -57,18 +57,34 @@ def song_scalar_fields(spark, folder):
     return C.song_scalars(read_songs(spark, path))
 
 
+def _sql_fields(fields, types):
+    kinds = {"double": "DOUBLE", "int": "INTEGER", "string": "VARCHAR", "bigint": "BIGINT"}
+    columns = ", ".join(f'CAST("{field}" AS {kinds[types[name]]}) AS "{name}"' for name, field in fields.items())
+    return f"SELECT {columns} FROM (SELECT {_sql_scalars()} FROM part)"
+
+
+@query(_sql_fields(C.FEATURE_FIELDS, schemas.SONG_FEATURE_TYPES))
+def song_feature_columns(spark, folder):
+    return C.song_features(T.songs(spark, folder))
+
+
+@query(_sql_fields(C.PROFILE_FIELDS, schemas.USER_FEATURE_TYPES))
+def profile_feature_columns(spark, folder):
+    return C.profile_features(T.songs(spark, folder))
+
+
 @query("""SELECT vec_id AS song_id, CAST(len(a) AS INTEGER) AS n_starts, CAST(len(b) AS INTEGER) AS n_weights,
     CAST(a[1] AS DOUBLE) AS first_start, CAST(a[len(a)] AS DOUBLE) AS last_start,
     round(list_sum(b), 6) AS weight_sum
     FROM (SELECT vec_id, CAST(list_slice(embedding, 1, vec_id % 64 + 1) AS DOUBLE[]) AS a,
-        CAST(list_slice(embedding, 1, 64 - vec_id % 64) AS DOUBLE[]) AS b FROM embeddings)""")
+        CAST(list_slice(embedding, vec_id % 64 + 1, 64) AS DOUBLE[]) AS b FROM embeddings)""")
 def ragged_arrays(spark, folder):
     """Records of up to 16 songs with two flat arrays, cut up into the arrays of each song."""
     n = F.col("vec_id") % 64
     vectors = T.table(spark, folder, "embeddings").select(
         (F.col("vec_id") / 16).cast("bigint").alias("record"), "vec_id",
         F.slice("embedding", F.lit(1), (n + 1).cast("int")).cast("array<double>").alias("a"),
-        F.slice("embedding", F.lit(1), (64 - n).cast("int")).cast("array<double>").alias("b"),
+        F.slice("embedding", (n + 1).cast("int"), (64 - n).cast("int")).cast("array<double>").alias("b"),
     )
     before = W.partitionBy("record").orderBy("vec_id").rowsBetween(W.unboundedPreceding, -1)
     placed = vectors.select("*", *[

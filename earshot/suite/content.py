@@ -77,6 +77,7 @@ def features_with_play_count(spark, folder):
     counts = X.user_play_counts(
         T.lines(spark, folder), T.song_tracks(spark, folder), T.track_paths(spark, folder)
     )
+    counts = stage(counts, "play-counts")
     rows = counts.select("user_id", "track_id").join(T.features(spark, folder), "track_id")
     return X.attach_play_count(rows, counts)
 
@@ -235,11 +236,7 @@ SCORES = """SELECT user_id, song_id, w1 * size + w2 * price + b AS score
 def all_song_scores(spark, folder):
     """Every song scored for every listener, summed up per song."""
     models = G.fit_ols(_labelled(spark, folder), NAMES)
-    scores = S.score_all(models, T.features(spark, folder), NAMES)
-    return scores.groupBy("song_id").agg(
-        F.count("*").alias("users"), F.round(F.avg("score"), 6).alias("mean_score"),
-        F.round(F.max("score"), 6).alias("best_score"),
-    )
+    return _rounded(S.song_scores(models, T.features(spark, folder), NAMES), "mean_score", "best_score")
 
 
 BEST = """SELECT user_id, song_id, round(score, 6) AS score, place FROM (SELECT *, CAST(row_number() OVER
@@ -250,8 +247,8 @@ BEST = """SELECT user_id, song_id, round(score, 6) AS score, place FROM (SELECT
 
 @query(with_tables("plays features", BEST, {**LABELLED, **_solved("labelled"), "scores": SCORES}))
 def best_unheard_songs(spark, folder):
-    plays = T.plays(spark, folder)
-    models = G.fit_ols(_labelled(spark, folder), NAMES)
+    plays = T.stored_plays(spark, folder)
+    models = G.fit_ols(stage(G.labelled(plays, T.features(spark, folder), NAMES), "labelled"), NAMES)
     return _rounded(S.recommend_top_n(models, T.features(spark, folder), NAMES, plays, 10), "score")
 
 

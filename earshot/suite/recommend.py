@@ -7,7 +7,7 @@ from earshot.operators import itemsets as I
 from earshot.operators import ratings as R
 from earshot.operators import rules as U
 from earshot.operators import similarity as S
-from earshot.operators.activity import first_users
+from earshot.operators.activity import active_users, first_users
 from earshot.plans.recommender import mine_rules, recommend, recommend_and_evaluate
 from earshot.session import stage
 from earshot.suite import tables as T
@@ -187,6 +187,24 @@ def frequent_itemsets(spark, folder):
     return _joined(_itemsets(spark, folder), "itemset")
 
 
+@query(with_tables("by_user", """SELECT i1 AS itemset, 1 AS size, support FROM l1
+    UNION ALL SELECT i1 || '|' || i2, 2, support FROM l2
+    UNION ALL SELECT i1 || '|' || i2 || '|' || i3, 3, support FROM l3""", {
+    "songs": "SELECT user_id, lpad(CAST(song_id AS VARCHAR), 9, '0') AS song FROM by_user",
+    "l1": "SELECT song AS i1, count(*) AS support FROM songs GROUP BY 1 HAVING count(*) >= 6",
+    "l2": """SELECT a.song AS i1, b.song AS i2, count(*) AS support FROM songs a JOIN songs b
+        ON a.user_id = b.user_id AND a.song < b.song GROUP BY 1, 2 HAVING count(*) >= 6""",
+    "l3": """SELECT a.song AS i1, b.song AS i2, c.song AS i3, count(*) AS support FROM songs a
+        JOIN songs b ON a.user_id = b.user_id AND a.song < b.song
+        JOIN songs c ON a.user_id = c.user_id AND b.song < c.song GROUP BY 1, 2, 3 HAVING count(*) >= 6""",
+}))
+def song_itemsets(spark, folder):
+    """Songs that at least six listeners have in common, by ones, twos and threes."""
+    rows = I.basket_items(stage(T.plays(spark, folder), "plays"))
+    named = rows.select("basket_id", F.lpad(F.col("item").cast("string"), 9, "0").alias("item"))
+    return _joined(I.frequent_itemsets(named, 6, 3), "itemset")
+
+
 @query(with_tables("order_brands", """SELECT basket_id, CAST(0 AS INTEGER) AS part,
     string_agg(item, '|' ORDER BY item) AS items FROM order_brands GROUP BY 1"""))
 def order_baskets(spark, folder):
@@ -278,7 +296,7 @@ def rule_recommendations_with_heard(spark, folder):
     return U.rule_recommendations(rows, _rules(rows), exclude_heard=False)
 
 
-# ---- blended recommendations for the first orders with enough brands, scored on later plays ----
+# ---- blended recommendations for all orders with enough brands, scored on later plays ----
 
 SETTINGS = dict(scale="raw", min_user_songs=4, min_support=8, cap=12)
 
@@ -289,7 +307,7 @@ BLEND = {
         FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3""",
     "plays": "SELECT user_id, song_id, play_count FROM order_plays WHERE NOT hidden",
     "hidden_plays": "SELECT user_id, song_id FROM order_plays WHERE hidden",
-    "targets": """SELECT user_id FROM plays GROUP BY 1 HAVING count(*) >= 7 ORDER BY user_id LIMIT 101""",
+    "targets": """SELECT user_id FROM plays GROUP BY 1 HAVING count(*) >= 7""",
     "by_song": T.SQL["by_song"],
     "by_user": T.SQL["by_user"].replace(">= 5", ">= 4"),
     "ratings": RAW_RATINGS,
@@ -314,7 +332,7 @@ def _blend_inputs(spark, folder):
     rows = stage(T.order_plays(spark, folder), "order-plays")
     visible = rows.where(~F.col("hidden")).select("user_id", "song_id", "play_count")
     hidden = rows.where("hidden").select("user_id", "song_id")
-    users = first_users(visible, 7, 101, line="user_id").select("user_id")
+    users = active_users(visible, 7).select("user_id")
     return visible, hidden, stage(users, "targets")
 
 

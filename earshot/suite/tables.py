@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from earshot.session import stage
+
 # plays shipped from this day on are held back when recommendations are scored
 HIDDEN_FROM = "2000-06-01"
 
@@ -98,6 +100,11 @@ def plays(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stored_plays(spark: SparkSession, folder: str) -> DataFrame:
+    """``plays`` written once, for operators that read them several times."""
+    return stage(plays(spark, folder), "plays")
+
+
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     """Single plays with a sortable ``line`` key."""
     return _order_lines(spark, folder).select(

@@ -60,6 +60,21 @@ def test_song_features_drop_headers_and_short_lines(spark, tmp_path):
     ]
 
 
+def test_song_features_keep_lines_with_an_empty_last_field(spark, tmp_path):
+    line = '"One, two",S1,A1,0.5,0.4,nan,0.1,200.0,0.0,-5.5,77,Album,"Artist ""x"", y",0.0,210.5,0.9,120.0,4,1.0,'
+    path = write(tmp_path / "f.csv", line, line.replace("S1", "S2") + "1999,", "a,b,c")
+    got = R.read_song_features(spark, path).orderBy("songId").collect()
+    assert [(r.songId, r.artistName, r.year) for r in got] == [("S1", 'Artist "x", y', None), ("S2", 'Artist "x", y', 1999)]
+
+
+def test_user_ids_with_odd_characters(spark, tmp_path):
+    ids = ["a+b", "50%", "x y", "a/b=c", None]
+    df = spark.createDataFrame([(i, f"s{n}", 1.0) for n, i in enumerate(ids)], "user_id STRING, songID STRING, duration DOUBLE")
+    K.write_user_features(df, str(tmp_path / "out"))
+    got = R.read_user_features(spark, str(tmp_path / "out")).select("songID", "user_id")
+    assert rows(got, "songID") == [(f"s{n}", i) for n, i in enumerate(ids)]
+
+
 def test_user_features_take_the_user_from_the_file_name(spark, tmp_path):
     header = "," + ",".join(schemas.USER_FEATURE_TYPES)
     line = "0,0.7,0.5,b'Devo',0.0,205.5,0.154,0.0,-16.6,,b'SO1',\"b\"\"It's, ok\"\"\",94.4,../A/TR1.h5"
@@ -89,7 +104,9 @@ def test_user_paths_round_trip_in_line_order_and_in_parts(spark, tmp_path):
     many = spark.range(50).select(F.lit("u").alias("user_id"), F.col("id").cast("string").alias("path"), F.col("id").alias("line"))
     K.write_user_paths(many, str(tmp_path / "q"), limit=10)
     parts = R.read_user_paths(spark, str(tmp_path / "q")).collect()
-    assert len(parts) > 2 and sorted(int(p) for r in parts for p in r.paths) == list(range(50))
+    assert sorted([int(p) for p in r.paths] for r in parts) == [list(range(i, i + 10)) for i in range(0, 50, 10)]
+    lists = K.user_path_lists(many, limit=15).orderBy("part").collect()
+    assert [int(p) for r in lists for p in r.paths] == list(range(50)) and [r.part for r in lists] == [0, 1, 2, 3]
 
 
 def test_user_counts_lines_and_map(spark, tmp_path):
@@ -143,12 +160,23 @@ def test_songs_scalars_catalog_and_listed_files(spark, tmp_path):
     assert rows(got.select("SongNumber", "SongID", "AlbumName", "ArtistLatitude", "Title", "Tempo", "Year")) == [
         (1, "S1", "R x", 3.5, "T", 90.5, 1999), (2, "S2", "R x", None, 'say "hi"', 90.5, 1999),
     ]
+    K.write_catalog(read, str(tmp_path / "few"), "Title, Tempo")
+    few = R.read_song_catalog(spark, str(tmp_path / "few"))
+    assert rows(few.select("Title", "Tempo", "SongID"), "Title") == [("T", 90.5, None), ('say "hi"', 90.5, None)]
+    assert few.columns == R.read_song_catalog(spark, str(tmp_path / "catalog")).columns
     files = sorted((tmp_path / "songs").glob("*.parquet"))
     (tmp_path / "songs" / "bad.parquet").write_text("not parquet")
     listing = write(tmp_path / "list.txt", str(files[0]), str(tmp_path / "songs" / "bad.parquet"), "/gone.parquet")
     kept = R.read_listed(spark, listing, str(tmp_path / "songs"))
     want = spark.read.schema(schemas.SONGS).parquet(str(files[0])).count()
     assert kept.count() == want
+    # the same name in another folder is another file, and paths may be relative
+    read.coalesce(1).write.parquet(str(tmp_path / "songs" / "more"))
+    twin = tmp_path / "songs" / "more" / files[0].name
+    next((tmp_path / "songs" / "more").glob("*.parquet")).rename(twin)
+    assert R.read_listed(spark, listing, str(tmp_path / "songs")).count() == want
+    relative = write(tmp_path / "relative.txt", f"./more/{files[0].name}", "")
+    assert R.read_listed(spark, relative, str(tmp_path / "songs")).count() == 2
 
 
 def test_attribute_selection(spark):

@@ -181,3 +181,26 @@ def test_first_users_and_unknown_user(spark):
     df = spark.createDataFrame([("b", 1), ("a", 2), ("b", 3), ("c", 4), ("a", 5), ("c", 6)], "user_id STRING, line INT")
     assert [r.user_id for r in first_users(df, 2, 2).collect()] == ["b", "a"]
     assert for_user(df, "nobody").count() == 0
+
+
+def solved(x, y):
+    centred = x - x.mean(axis=0)
+    w = np.linalg.lstsq(centred, y - y.mean(), rcond=None)[0]
+    return w
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e4, 1e7])
+@pytest.mark.parametrize("n", [8, 40])
+def test_least_squares_far_from_all_others(spark, offset, n):
+    """A listener far from the mean of all rows has the same digits as any other."""
+    rng = np.random.default_rng(4)
+    rows, want = [], {}
+    for user, at in (("near", 0.0), ("far", offset)):
+        x = rng.normal(size=(n, 5)) + at
+        y = (x - at) @ np.array([3.0, -2.0, 0.5, 1.0, -1.5]) + rng.normal(size=n) * 0.01
+        want[user] = solved(x, y)
+        rows += [(user, *map(float, r), float(label)) for r, label in zip(x, y)]
+    names = [f"f{i}" for i in range(5)]
+    df = spark.createDataFrame(rows, "user_id STRING, " + ", ".join(f"{f} DOUBLE" for f in names) + ", label DOUBLE")
+    for model in G.fit_ols(df.repartition(4), names).collect():
+        assert np.allclose(model.weights, want[model.user_id], atol=1e-6 if offset < 1e7 else 1e-5)

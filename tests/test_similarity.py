@@ -85,6 +85,24 @@ def test_integer_ids_go_through_the_block_way(spark):
     assert [r.sim for r in by_rows] == pytest.approx([r.sim for r in by_blocks], abs=1e-10)
 
 
+def test_repeated_rows_give_one_answer(spark):
+    rows = random_ratings(5)
+    repeated = spark.createDataFrame(rows + rows[::3] + rows[::4], SCHEMA)
+    chosen = repeated.where("user_id = 'u01'")
+    ways = [
+        {(r.rated_song_id, r.song_id): r.sim for r in S.item_similarity(repeated, chosen, fanout=f, users_per_block=4).collect()}
+        for f in (1000, 2, 0)
+    ]
+    assert ways[0] and all(way.keys() == ways[0].keys() for way in ways)
+    assert all(way[p] == pytest.approx(ways[0][p], abs=1e-10) for way in ways for p in way)
+
+
+def test_plays_in_several_rows_are_added_up(spark):
+    plays = spark.createDataFrame([("u", "s", 1), ("u", "s", 3), ("v", "s", 2)], "user_id STRING, song_id STRING, play_count BIGINT")
+    got = {r.user_id: r.rating for r in R.to_ratings(plays, "raw", 1, 1).collect()}
+    assert got == {"u": 4, "v": 2}
+
+
 def test_song_with_equal_ratings_has_norm_zero_and_no_similarity(spark):
     third = math.log2(3) + 1
     rows = [("a", "flat", third), ("b", "flat", third), ("c", "flat", third)]
