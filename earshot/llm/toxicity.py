@@ -9,6 +9,7 @@ afterwards the sentence scores tell where the offence is.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from zlib import crc32
 
 import numpy as np
@@ -139,12 +140,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, trains: Column, sample: in
     rows = docs.where(trains).select(
         F.col(id_column).alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")
     )
-    parts = []
-    for label in (0, 1):
-        chosen = known.where(F.col("toxic") == label).join(rows.select("id"), "id", "left_semi")
-        chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(sample)
-        parts.append(rows.join(F.broadcast(chosen), "id").select("id", "text", "toxic").toArrow())
-    table = pa.concat_tables(parts).sort_by([("id", "ascending"), ("text", "ascending"), ("toxic", "ascending")])
+    present = known.join(rows.select("id"), "id", "left_semi")
+    chosen = reduce(DataFrame.union, [
+        present.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id").limit(sample) for label in (0, 1)
+    ])
+    table = rows.join(F.broadcast(chosen), "id").select("id", "text", "toxic").toArrow()
+    table = table.sort_by([("id", "ascending"), ("text", "ascending"), ("toxic", "ascending")])
     return table.column("text").combine_chunks(), table.column("toxic").to_numpy()
 
 
