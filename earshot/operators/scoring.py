@@ -50,32 +50,32 @@ def _score_chunks(models: pa.Table, songs: pa.Table):
         yield start, weights[chunk] @ values + intercepts[chunk, None]
 
 
-def _result(models: pa.Table, songs: pa.Table, found: list[tuple[np.ndarray, ...]]) -> pa.Table:
-    rows, columns, scores = (np.concatenate(parts) for parts in zip(*found))
+def _result(models: pa.Table, songs: pa.Table, found: list[tuple[np.ndarray, ...]], *names: str) -> pa.Table:
+    rows, columns, *scores = (np.concatenate(parts) for parts in zip(*found))
     return pa.table({
         "user_id": models["user_id"].combine_chunks().take(pa.array(rows)),
         "song_id": songs["song_id"].combine_chunks().take(pa.array(columns)),
-        "score": pa.array(scores),
+        **{name: pa.array(values) for name, values in zip(names, scores)},
     })
 
 
-def _empty(left: pa.Table, right: pa.Table) -> pa.Table:
+def _empty(left: pa.Table, right: pa.Table, *names: str) -> pa.Table:
     return pa.table({
         "user_id": pa.array([], left.schema.field("user_id").type),
         "song_id": pa.array([], right.schema.field("song_id").type),
-        "score": pa.array([], pa.float64()),
+        **{name: pa.array([], pa.float64()) for name in names},
     })
 
 
 def _all_scores(left: pa.Table, right: pa.Table) -> pa.Table:
     models, _, songs = _cell(left, right)
     if not models.num_rows or not songs.num_rows:
-        return _empty(left, right)
+        return _empty(left, right, "score")
     found = []
     for start, scores in _score_chunks(models, songs):
         rows, columns = np.indices(scores.shape).reshape(2, -1)
         found.append((rows + start, columns, scores.ravel()))
-    return _result(models, songs, found)
+    return _result(models, songs, found, "score")
 
 
 def _best(ranked: np.ndarray, n: int) -> np.ndarray:
@@ -99,7 +99,7 @@ def _best_scores(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def best(left: pa.Table, right: pa.Table) -> pa.Table:
         models, heard, songs = _cell(left, right)
         if not models.num_rows or not songs.num_rows:
-            return _empty(left, right)
+            return _empty(left, right, "score", "ranked")
         user = pc.index_in(heard["user_id"], models["user_id"].combine_chunks())
         song = pc.index_in(heard["song_id"], songs["song_id"].combine_chunks())
         known = pc.and_(pc.is_valid(user), pc.is_valid(song))
@@ -112,8 +112,8 @@ def _best_scores(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             here = slice(*np.searchsorted(user, [start, start + len(scores)]))
             ranked[user[here] - start, song[here]] = -np.inf
             rows, columns = np.nonzero(_best(ranked, n))
-            found.append((rows + start, columns, ranked[rows, columns]))
-        return _result(models, songs, found)
+            found.append((rows + start, columns, scores[rows, columns], ranked[rows, columns]))
+        return _result(models, songs, found, "score", "ranked")
 
     return best
 
@@ -208,10 +208,14 @@ def recommend_top_n(
 ) -> DataFrame:
     """The ``n`` best unheard songs of each listener as ``place`` 1…n, ties by song id.
 
-    Scores are rounded once, where they are computed; cells and the last
-    ranking compare the same values.
+    Scores are rounded for ranking once, where they are computed: cells and the
+    last ranking compare the same values.
     """
     heard = plays.select("user_id", "song_id").distinct()
-    scores = _score_cells(models, songs, features, heard, _best_scores(n), users_per_block, songs_per_block)
-    by_score = W.partitionBy("user_id").orderBy(F.desc("score"), "song_id")
-    return scores.select("*", F.row_number().over(by_score).alias("place")).where(F.col("place") <= n)
+    schema = T.StructType([
+        models.schema["user_id"], songs.schema["song_id"], T.StructField("score", T.DoubleType()),
+        T.StructField("ranked", T.DoubleType()),
+    ])
+    scores = _score_cells(models, songs, features, heard, _best_scores(n), users_per_block, songs_per_block, schema)
+    by_score = W.partitionBy("user_id").orderBy(F.desc("ranked"), "song_id")
+    return scores.select("user_id", "song_id", "score", F.row_number().over(by_score).alias("place")).where(F.col("place") <= n)
