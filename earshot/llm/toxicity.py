@@ -88,40 +88,65 @@ def _telling(seen_toxic: np.ndarray, seen: np.ndarray, rate: float, evidence: fl
         return (seen_toxic > seen * rate) & (2 * (a + b) >= evidence)
 
 
+def _seen(texts: pa.Array, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Documents with each feature, and toxic ones among them."""
+    code, table, first, owner = _sentences(texts)
+    if not len(code):
+        return np.zeros(BUCKETS), np.zeros(BUCKETS)
+    spans = np.diff(np.append(first, len(code)))
+    met = np.unique(np.repeat(owner, spans) * len(table) + code)
+    pair = np.unique(np.repeat(met // len(table), 3) * BUCKETS + table[met % len(table)].ravel())
+    feature = pair % BUCKETS
+    return np.bincount(feature, minlength=BUCKETS).astype(float), np.bincount(feature, y[pair // BUCKETS], minlength=BUCKETS)
+
+
+def _telling_words(texts: pa.Array, telling: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of the words with a telling one, the sentence of each word, and the text of each sentence."""
+    code, table, first, owner = _sentences(texts)
+    spans = np.diff(np.append(first, len(code)))
+    kept = telling[table].any(axis=1)[code] if len(code) else np.zeros(0, dtype=bool)
+    return table[code[kept]], np.repeat(np.arange(len(first)), spans)[kept], owner
+
+
 def fit(texts: pa.Array, toxic: np.ndarray, epochs: int = EPOCHS, bias: float = -9.0, penalty: float = 1e-6,
-        evidence: float = 20.0) -> tuple[np.ndarray, float]:
+        evidence: float = 20.0, at_once: int = 256) -> tuple[np.ndarray, float]:
     """Feature weights and bias that make the noisy-or fit the document labels.
 
     Only features whose count in toxic documents is beyond chance (likelihood
     ratio of ``evidence`` or more) get a weight; full-batch gradient steps fit
     these, each with a rate of its own. Both labels weigh the same in total.
+    Texts are taken apart ``at_once`` at a time; only the words with a telling
+    feature are kept.
     """
     weights = np.zeros(BUCKETS)
     y = toxic.astype(float)
     if not 0 < y.sum() < len(y):
         return weights, bias
-    code, table, first, owner = _sentences(texts)
-    spans = np.diff(np.append(first, len(code)))
-    of_sentence = np.repeat(np.arange(len(first)), spans)
-    # a document counts once for each of its features
-    met = np.unique(owner[of_sentence] * len(table) + code)
-    pair = np.unique(np.repeat(met // len(table), 3) * BUCKETS + table[met % len(table)].ravel())
-    seen = np.bincount(pair % BUCKETS, minlength=BUCKETS).astype(float)
-    seen_toxic = np.bincount(pair % BUCKETS, y[pair // BUCKETS], minlength=BUCKETS)
+    starts = range(0, len(y), at_once)
+    seen, seen_toxic = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for start in starts:
+        all_, bad = _seen(texts.slice(start, at_once), y[start:start + at_once])
+        seen += all_
+        seen_toxic += bad
     telling = _telling(seen_toxic, seen, y.mean(), evidence)
-    kept = telling[table].any(axis=1)[code]
-    code, of_sentence = code[kept], of_sentence[kept]
+    words, sentences, owners, count = [], [], [], 0
+    for start in starts:
+        word, sentence, owner = _telling_words(texts.slice(start, at_once), telling)
+        words.append(word)
+        sentences.append(sentence + count)
+        owners.append(owner + start)
+        count += len(owner)
+    word, sentence, owner = np.concatenate(words), np.concatenate(sentences), np.concatenate(owners)
     share = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     squares, bias_squares = np.full(BUCKETS, share.mean() ** 2), 1e-12
     for _ in range(epochs):
-        total = np.bincount(of_sentence, weights[table].sum(axis=1)[code], minlength=len(first)) + bias
+        total = np.bincount(sentence, weights[word].sum(axis=1), minlength=count) + bias
         clean = -np.logaddexp(0.0, total)
         none = np.bincount(owner, clean, minlength=len(y))
         odds = np.exp(none) / np.maximum(-np.expm1(none), 1e-9)
         pull = np.where(y > 0, np.minimum(odds, 1e6), -1.0) * share
         slope = -np.expm1(clean) * pull[owner]
-        of_word = np.bincount(code, slope[of_sentence], minlength=len(table))
-        gradient = np.bincount(table.ravel(), np.repeat(of_word, 3), minlength=BUCKETS) - penalty * weights
+        gradient = np.bincount(word.ravel(), np.repeat(slope[sentence], 3), minlength=BUCKETS) - penalty * weights
         gradient[~telling] = 0.0
         squares += gradient**2
         weights += gradient / np.sqrt(squares)
