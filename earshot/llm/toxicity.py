@@ -23,7 +23,7 @@ from earshot.session import ship_with_jobs
 
 BUCKETS = 1 << 18
 # labelled rows the fit takes at most, of either label
-SAMPLE = 4_000
+SAMPLE = 3_000
 EPOCHS = 120
 CUT = 0.7
 # words of a stretch without sentence end that count as one sentence
