@@ -110,6 +110,17 @@ def predicted_ratings_of_first_users(spark, folder):
     return _rounded(S.predict_from_ratings(_ratings(spark, folder), users=users), "score")
 
 
+@query(with_tables("norms", "SELECT user_id, song_id, round(score, 6) AS score FROM predicted",
+    _prediction_tables("""SELECT user_id, song_id, rating FROM ratings WHERE user_id IN
+    (SELECT user_id FROM ratings GROUP BY 1 HAVING count(*) >= (SELECT 1.3 * count(*) / count(DISTINCT user_id) FROM ratings))""")))
+def predicted_ratings_of_active_users(spark, folder):
+    """All listeners with well above the average number of songs."""
+    ratings = _ratings(spark, folder)
+    counts = stage(ratings.groupBy("user_id").agg(F.count("*").alias("n")), "song-counts")
+    least = counts.agg(1.3 * F.sum("n") / F.count("*")).first()[0]
+    return _rounded(S.predict_from_ratings(ratings, users=counts.where(F.col("n") >= least)), "score")
+
+
 @query(with_tables("norms", """SELECT user_id, song_id, round(rating, 9) AS rating, round(sim, 9) AS sim FROM rows
     WHERE user_id IN (SELECT user_id FROM rows GROUP BY 1 HAVING count(*) > 1)""", {
     "mine": "SELECT min(song_id) AS song_id FROM ratings",
