@@ -85,6 +85,21 @@ def test_integer_ids_go_through_the_block_way(spark):
     assert [r.sim for r in by_rows] == pytest.approx([r.sim for r in by_blocks], abs=1e-10)
 
 
+@pytest.mark.parametrize("users_per_block, songs_per_block", [(256, 256), (4, 3)])
+def test_predictions_of_all_listeners_equal_brute_force(spark, users_per_block, songs_per_block):
+    rows = random_ratings(6)
+    ratings = spark.createDataFrame(rows, SCHEMA)
+    users = ratings.select("user_id").distinct()
+    got = {
+        (r.user_id, r.song_id): r.score
+        for r in S.predict_from_ratings(ratings, users=users, k=3, min_neighbours=2, users_per_block=users_per_block,
+                                        songs_per_block=songs_per_block).collect()
+    }
+    want = {(u, s): x for u in {r[0] for r in rows} for s, x in brute_prediction(rows, u, 3, 2).items()}
+    assert got.keys() == want.keys() and got
+    assert all(got[p] == pytest.approx(want[p]) for p in want)
+
+
 def test_repeated_rows_give_one_answer(spark):
     rows = random_ratings(5)
     repeated = spark.createDataFrame(rows + rows[::3] + rows[::4], SCHEMA)
