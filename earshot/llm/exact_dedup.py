@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import SPACES, TAG, tagged, untagged
+from earshot.llm.common import SPACES, TAG, numbered, tagged, untagged
 from earshot.session import stage
 
 RUNS = 256
@@ -43,7 +43,7 @@ def duplicate_groups(
     and blank texts are ordinary texts (null equals empty; blank is one space).
     An empty table gives no rows.
     """
-    source = docs if has_tags else tagged(docs.select(id_column, text_column), "dedup-input")
+    source = docs if has_tags else numbered(docs.select(id_column, text_column))
     text = normalised(F.col(text_column))
     rows = stage(
         source.select(
