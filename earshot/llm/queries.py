@@ -40,7 +40,39 @@ def op1_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return context_mixing.score(table(spark, folder, "documents"))
 
 
-@_query()
+def _sql_words(text: str) -> str:
+    return "[" + ", ".join(f"'{word}'" for word in text.split()) + "]"
+
+
+def _license_sql() -> str:
+    """Every phrase at every place and every template in every block, without any filter."""
+    phrases = ", ".join(f"('{label}', {_sql_words(text)})" for label, text in licenses.PHRASES.items())
+    templates = ", ".join(
+        f"('{label}', list_distinct({_sql_words(text)}), {licenses.needed(len(set(text.split())), licenses.CONTAINMENT)})"
+        for label, text in licenses.TEMPLATES
+    )
+    step = licenses.STEP
+    return rf"""WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+    phrases(label, own) AS (VALUES {phrases}), templates(label, own, least) AS (VALUES {templates}),
+    places AS (SELECT doc_id, i - 1 AS place, label FROM w, (SELECT unnest(range(1, len(ws) + 1)) AS i) AS t, phrases
+        WHERE list_slice(ws, i, i + len(own) - 1) = own),
+    base AS (SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi,
+        string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY 1),
+    blocks AS (SELECT doc_id, list_distinct(list_slice(ws, b + 1, b + {2 * step})) AS block
+        FROM w, (SELECT unnest(range(0, greatest(len(ws) - {step + 1}, 0) + 1, {step})) AS b) AS t),
+    found AS (SELECT doc_id, label, len(list_intersect(block, own)) / len(own) AS share FROM blocks, templates
+        WHERE len(list_intersect(block, own)) >= least),
+    every_label AS (SELECT doc_id, label FROM places UNION SELECT doc_id, label FROM found),
+    named AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM every_label GROUP BY 1),
+    best AS (SELECT doc_id, max(share) AS share FROM found GROUP BY 1)
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, lo AS first_word, hi AS last_word,
+        coalesce(base.labels, '') AS base_labels, coalesce(named.labels, '') AS labels,
+        greatest(coalesce(share, 0), CASE WHEN n > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS score
+    FROM w LEFT JOIN base USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN best USING (doc_id)"""
+
+
+@_query(_license_sql())
 def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_labels(table(spark, folder, "documents")).drop("row_tag")
 
