@@ -27,8 +27,6 @@ EMBEDDING = 6
 SAMPLE = 800
 WINDOWS_PER_TEXT = 4
 EPOCHS = 10
-# languages learned at most: the most frequent ones
-LANGUAGES = 256
 _REACH = max(WIDTHS) - 1
 UNKNOWN = "und"
 
@@ -154,30 +152,32 @@ def _in_stretches(network: Network, tables: list, data: list[bytes], counts: np.
 
 
 def train(docs: DataFrame, trains: Column, text_column: str = "text", language_column: str = "lang",
-          id_column: str = "doc_id", sample: int = SAMPLE, languages: int = LANGUAGES, epochs: int = EPOCHS) -> Network | None:
+          id_column: str = "doc_id", sample: int = SAMPLE, epochs: int = EPOCHS) -> Network | None:
     """Fits on at most ``sample`` texts per language for which ``trains`` holds; None if there are none.
 
     The texts with the smallest hashes of their ids are taken, and of each a
     few windows spread over it. Null languages and null or blank texts teach
     nothing. Sizes come out as rare languages have them: every language weighs
-    by its windows. At most ``languages`` languages are learned.
+    by its windows. Every language that has a text is learned.
     """
     labelled = docs.where(trains & F.col(language_column).isNotNull() & (F.trim(F.col(text_column)) != "")).select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(language_column).alias("lang")
     )
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    counts = labelled.groupBy("lang").count().collect()
     if not counts:
         return None
     # about twice as many as wanted by chance, then the first of them by hash
     scale = float(1 << 30)
-    chance = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 2.0 * sample / r["count"] + 1e-4))])
+    chances = docs.sparkSession.createDataFrame(
+        [(r["lang"], min(1.0, 2.0 * sample / r["count"] + 1e-4)) for r in counts], "lang string, chance double"
+    )
     drawn = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / scale
     pieces = F.array(*[
         F.substring(F.col("text"), (F.floor(F.length("text") * i / WINDOWS_PER_TEXT) + 1).cast("int"), WINDOW + _REACH)
         for i in range(WINDOWS_PER_TEXT)
     ])
     rows = (
-        labelled.where(drawn < chance[F.col("lang")])
+        labelled.join(F.broadcast(chances), "lang").where(drawn < F.col("chance"))
         .select("lang", "id", pieces.alias("pieces")).toPandas().sort_values(["lang", "id"])
     )
     names = sorted(r["lang"] for r in counts)
