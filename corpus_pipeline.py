@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from earshot.llm import bpe, exact_dedup, minhash, mixing, queries, toxicity
+from earshot.llm import bpe, exact_dedup, mixing, queries, simhash, toxicity
 from earshot.session import stage
 
 
@@ -24,8 +24,8 @@ def drop_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts whose 5-word shingles have a Jaccard similarity of 0.8 or more."""
-    return minhash.drop_near_duplicates(docs)
+    """One document of each group linked by fingerprints of 3-word shingles with at most 3 differing bits."""
+    return simhash.drop_near_duplicates(docs, words_per_shingle=3, radius=3)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", reject_toxic),
     ("exact dedup", drop_duplicates),
-    ("near dedup", drop_near_duplicates),
+    ("SimHash near dedup", drop_near_duplicates),
     ("mixing", mix_sources),
     ("encoding", encode),
 ]
