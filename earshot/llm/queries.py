@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.llm import (
-    bpe, context_mixing, embeddings, exact_dedup, language, licenses, mixing, sharding, simhash, toxicity,
+    bpe, context_mixing, embeddings, exact_dedup, filter_audit, language, licenses, mixing, sharding, simhash, toxicity,
 )
 from earshot.llm.common import fold_of
 
@@ -155,3 +155,32 @@ def op9_prefix_sum_mix(spark: SparkSession, folder: str) -> DataFrame:
 def op10_simhash_balls(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@_query(r"""WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    f AS (SELECT d.doc_id, part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic,
+        {'A': len(ws) < 200, 'B': 100 * len(list_distinct(ws)) < 50 * len(ws),
+         'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t), 'D': regexp_matches(t, '[#$%&*|]'),
+         'E': d.doc_id > min(d.doc_id) OVER (PARTITION BY t)} AS x FROM d LEFT JOIN labels USING (doc_id)),
+    fails AS (SELECT part, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'], lambda k: x.A AND k = 'A'
+        OR x.B AND k = 'B' OR x.C AND k = 'C' OR x.D AND k = 'D' OR x.E AND k = 'E') AS own FROM f),
+    masks AS (SELECT part, own, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+        FROM fails GROUP BY 1, 2),
+    l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS k),
+    o AS (SELECT a.k || b.k || c.k || d.k || e.k AS filter_order FROM l a, l b, l c, l d, l e
+        WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+    s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS k,
+        string_split(filter_order[:step - 1], '') AS before FROM o, (SELECT unnest(range(1, 6)) AS step) AS t),
+    r AS (SELECT part, filter_order, step, k, CAST(coalesce(sum(n) FILTER (NOT list_contains(own, k)
+                AND len(list_intersect(own, before)) = 0), 0) AS BIGINT) AS kept,
+        CAST(coalesce(sum(n) FILTER (list_contains(own, k) AND len(list_intersect(own, before)) = 0), 0) AS BIGINT) AS removed,
+        CAST(coalesce(sum(n) FILTER (list_contains(own, k) AND len(list_intersect(own, before)) > 0), 0) AS BIGINT) AS redundant,
+        CAST(coalesce(sum(n) FILTER (own = [k]), 0) AS BIGINT) AS unique_fails,
+        CAST(coalesce(sum(good) FILTER (list_contains(own, k) AND len(list_intersect(own, before)) = 0), 0) AS BIGINT) AS good_lost,
+        CAST(coalesce(sum(toxic) FILTER (list_contains(own, k) AND len(list_intersect(own, before)) = 0), 0) AS BIGINT) AS toxic_lost
+        FROM masks, s GROUP BY part, filter_order, step, k)
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+        CAST(sum(removed) OVER (PARTITION BY part, k) AS BIGINT) AS shapley FROM r""")
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
