@@ -226,20 +226,20 @@ def all_orders(masks: DataFrame) -> DataFrame:
     them in 1/f of the orders, which gives ``shapley``.
     """
     cells = [
-        F.array(*[F.sum(F.when(F.col("fails") == m, F.col(name)).otherwise(0)) for m in range(2 ** len(LETTERS))]).alias(name)
+        F.expr("array(" + ", ".join(f"sum(IF(fails = {m}, {name}, 0L))" for m in range(2 ** len(LETTERS))) + ")").alias(name)
         for name in ("n", "good", "toxic")
     ]
-    steps = [
-        F.struct(
-            F.lit("".join(order)).alias("filter_order"), F.lit(step).alias("step"),
-            F.lit(sum(1 << LETTERS.index(x) for x in order[:step - 1])).alias("before"),
-            F.lit(1 << LETTERS.index(order[step - 1])).alias("own"),
-        )
-        for order in permutations(LETTERS) for step in range(1, len(LETTERS) + 1)
-    ]
+    orders = F.split(F.lit(" ".join(map("".join, permutations(LETTERS)))), " ")
+    bit = "shiftleft(1, instr('%s', substring(filter_order, %%s, 1)) - 1)" % LETTERS
     shares = factorial(len(LETTERS))
     removed = "(mask & own) <> 0 AND (mask & before) = 0"
-    rows = masks.groupBy("part").agg(*cells).withColumn("at", F.explode(F.array(*steps))).select("part", "n", "good", "toxic", "at.*")
+    rows = (
+        masks.groupBy("part").agg(*cells)
+        .withColumn("filter_order", F.explode(orders))
+        .withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(len(LETTERS)))))
+        .withColumn("own", F.expr(bit % "step"))
+        .withColumn("before", F.expr(f"aggregate(sequence(1, step), 0, (a, i) -> a + IF(i < step, {bit % 'i'}, 0))"))
+    )
     return rows.select(
         "part", "filter_order", "step", _over_masks("n", "(mask & (own | before)) = 0").alias("kept"),
         _over_masks("n", removed).alias("removed"),
