@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.llm import (
-    bpe, context_mixing, embeddings, exact_dedup, filter_audit, language, licenses, mixing, sharding, simhash, toxicity,
+    bpe, context_mixing, embeddings, exact_dedup, filter_audit, language, licenses, mixing, packing, sharding,
+    simhash, toxicity,
 )
 from earshot.llm.common import fold_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -157,6 +159,12 @@ def op10_simhash_balls(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@_query()
+def op12_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, with_ids=False)
+
+
 @_query(r"""WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
     f AS (SELECT d.doc_id, part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic,
