@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.llm import (
-    bpe, context_mixing, embeddings, exact_dedup, filter_audit, language, licenses, mixing, packing, sharding,
-    simhash, toxicity,
+    bpe, context_mixing, embeddings, exact_dedup, filter_audit, language, lexical, licenses, mixing, packing,
+    sharding, simhash, toxicity,
 )
 from earshot.llm.common import fold_of
 
@@ -159,6 +159,24 @@ def op10_simhash_balls(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+
+@_query(f"""WITH q AS (SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY 1, 2),
+    d AS (SELECT doc_id, {_TERMS} AS ts FROM documents),
+    c AS (SELECT count(*) AS n, CAST(sum(len(ts)) AS BIGINT) AS l FROM d WHERE len(ts) > 0),
+    p AS (SELECT doc_id, size, t, count(*) AS tf FROM (SELECT doc_id, len(ts) AS size, unnest(ts) AS t FROM d) GROUP BY ALL),
+    w AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM p, c WHERE t IN (SELECT t FROM q) GROUP BY t),
+    s AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * size * n) // l))))
+        AS BIGINT) AS score FROM p JOIN w USING (t) JOIN q USING (t), c GROUP BY 1, 2)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM s WHERE score > 0 QUALIFY rank <= 10""")
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @_query()
 def op12_cutting_stock(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
