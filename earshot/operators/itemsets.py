@@ -2,9 +2,8 @@
 
 Baskets are kept in long form, ``(basket_id, item)``. Itemsets are grown level
 by level: candidates are joins of frequent sets all of whose subsets are
-frequent, and only occurrences of candidates are counted. The occurrences of a
-level are stored once and extended to the next. A large basket is dealt into
-parts by its items, so that its pairs are formed by many tasks.
+frequent, and their supports are counted in blocks (``support``), so that no
+basket makes rows for the sets it holds.
 """
 
 from __future__ import annotations
@@ -15,11 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions.columns import canonical
+from earshot.operators.ordering import number_rows
 from earshot.operators.ratings import qualified_plays
+from earshot.operators.support import BLOCK_ITEMS, pair_supports, set_supports
 from earshot.session import stage
 
-# items of a basket that one part pairs with the others
-PART_ITEMS = 64
 # items of one array of a basket
 BASKET_LIMIT = 100_000
 
@@ -60,26 +59,6 @@ def _names(k: int) -> list[str]:
     return [f"i{p}" for p in range(1, k + 1)]
 
 
-def _extend(found: DataFrame, k: int) -> DataFrame:
-    """Occurrences of ``k - 1`` items to occurrences of ``k``, within each basket.
-
-    A row meets the rows of its prefix part by part; a basket has as many parts
-    as its size asks for, so a large one is spread over as many tasks.
-    """
-    prefix = _names(k - 2)
-    keys = ["basket_id", *prefix, "at"]
-    left = found.select(
-        "basket_id", *prefix, F.pmod(F.xxhash64(f"i{k - 1}"), F.col("parts")).alias("at"), F.col(f"i{k - 1}").alias("a")
-    )
-    right = found.select(
-        "basket_id", *prefix, F.explode(F.expr("sequence(0L, parts - 1)")).alias("at"), F.col(f"i{k - 1}").alias("b"),
-        "parts",
-    )
-    return left.join(right, keys).where("a < b").select(
-        "basket_id", "parts", *prefix, F.col("a").alias(f"i{k - 1}"), F.col("b").alias(f"i{k}")
-    )
-
-
 def _candidates(level: DataFrame, k: int) -> DataFrame:
     """Sets of ``k`` items all of whose subsets of ``k - 1`` items are in ``level``."""
     names, prefix = _names(k), _names(k - 2)
@@ -122,13 +101,13 @@ def occurrences(rows: DataFrame, sets: DataFrame, k: int) -> DataFrame:
 
 
 def frequent_itemsets(
-    rows: DataFrame, min_support: int = 15, max_size: int = 4, part_items: int = PART_ITEMS
+    rows: DataFrame, min_support: int = 15, max_size: int = 4, block_items: int = BLOCK_ITEMS
 ) -> DataFrame:
     """``(itemset, size, support)`` of all sets of up to ``max_size`` items in at least
     ``min_support`` baskets.
 
-    The same plan at every basket size; ``part_items`` only says how finely a
-    large basket is spread.
+    Pairs are counted as matrices of ``block_items`` times ``block_items``
+    items, larger sets as bitmaps; the same plan at every basket size.
     """
     rows = stage(rows.select("basket_id", "item").distinct(), "baskets")
     singles = stage(
@@ -136,31 +115,31 @@ def frequent_itemsets(
         .where(F.col("support") >= min_support),
         "itemsets-1",
     )
-    levels = [singles]
-    kept = rows.join(singles.select(F.col("i1").alias("item")), "item", "left_semi")
-    sizes = stage(
-        kept.groupBy("basket_id").agg(F.ceil(F.count("*") / part_items).cast("bigint").alias("parts")), "basket-sizes"
-    )
-    found = kept.join(sizes, "basket_id").select("basket_id", "parts", F.col("item").alias("i1"))
-
+    numbered = number_rows(singles.where("i1 IS NOT NULL").select(F.col("i1").alias("item")), ["item"], "code")
+    codes = stage(numbered.select("item", (F.col("code") - 1).cast("int").alias("code")), "item-codes")
+    coded = stage(rows.where("basket_id IS NOT NULL").join(codes, "item").select("basket_id", "code"), "coded-baskets")
+    levels = []
     for k in range(2, max_size + 1):
-        names = _names(k)
-        grown = _extend(found, k)
-        if k > 2:
+        if k == 2:
+            counted = pair_supports(coded, codes.count(), min_support, block_items)
+        else:
             candidates = stage(_candidates(levels[-1], k), f"candidates-{k}")
-            grown = grown.join(candidates, names, "left_semi")
-        if k < max_size:
-            grown = stage(grown, f"occurrences-{k}")
-        counted = grown.groupBy(*names).agg(F.count("*").alias("support"))
-        level = stage(counted.where(F.col("support") >= min_support), f"itemsets-{k}")
+            if candidates.isEmpty():
+                break
+            counted = set_supports(coded, candidates, _names(k), min_support)
+        level = stage(counted, f"itemsets-{k}")
         if level.isEmpty():
             break
         levels.append(level)
-        found = grown.join(level, names, "left_semi").select("basket_id", "parts", *names)
+
+    def named(level: DataFrame, k: int) -> DataFrame:
+        for name in _names(k):
+            level = level.join(codes.select(F.col("code").alias(name), F.col("item").alias(f"item_{name}")), name)
+        return level.select(F.array(*[f"item_{n}" for n in _names(k)]).alias("itemset"), F.lit(k).alias("size"), "support")
 
     return reduce(DataFrame.unionByName, [
-        level.select(F.array(*_names(k)).alias("itemset"), F.lit(k).alias("size"), "support")
-        for k, level in enumerate(levels, start=1)
+        singles.select(F.array("i1").alias("itemset"), F.lit(1).alias("size"), "support"),
+        *[named(level, k) for k, level in enumerate(levels, start=2)],
     ])
 
 
