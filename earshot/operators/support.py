@@ -21,8 +21,8 @@ from earshot.session import ship_with_jobs, stage
 
 # items of a block; a cell's matrix has the square of it
 BLOCK_ITEMS = 2048
-# entries of a cell, or of a part of the baskets, that one task takes at once
-ENTRIES = 2_000_000
+# rows of the baskets that one task takes at once; a cell takes a quarter of its matrix if that is more
+ENTRIES = 250_000
 # baskets with more pairs than this in a cell are counted by bitmaps, the others pair by pair in memory
 DENSE_PAIRS = 8192
 # candidate sets of a chunk
@@ -99,7 +99,7 @@ def count_sets(baskets: np.ndarray, codes: np.ndarray, sets: np.ndarray) -> np.n
     return supports
 
 
-def _cells(blocks: DataFrame, one_block: bool) -> DataFrame:
+def _cells(blocks: DataFrame) -> DataFrame:
     """``lo``, ``hi``, ``basket_id``, ``left``, ``right``: the blocks of a basket by twos, and each alone.
 
     A basket's blocks meet part by part, so one with very many is spread over
@@ -108,8 +108,6 @@ def _cells(blocks: DataFrame, one_block: bool) -> DataFrame:
     alone = blocks.select(
         F.col("block").alias("lo"), F.col("block").alias("hi"), "basket_id", F.col("items").alias("left"), F.col("items").alias("right")
     )
-    if one_block:
-        return alone
     sizes = stage(
         blocks.groupBy("basket_id").agg(F.ceil(F.count("*") / PART_BLOCKS).cast("int").alias("parts")), "basket-blocks"
     )
@@ -125,44 +123,69 @@ def _cells(blocks: DataFrame, one_block: bool) -> DataFrame:
     )
 
 
+def _basket_numbers(column: pa.ChunkedArray) -> np.ndarray:
+    coded = column.combine_chunks().dictionary_encode()
+    coded = coded if isinstance(coded, pa.Array) else pa.concat_arrays(coded.unify_dictionaries().chunks)
+    return coded.indices.to_numpy().astype(np.int64)
+
+
 def pair_supports(
     coded: DataFrame, n_items: int, min_support: int, block_items: int = BLOCK_ITEMS, entries: int = ENTRIES
 ) -> DataFrame:
     """``i1 < i2`` and ``support`` of all pairs in at least ``min_support`` baskets.
 
-    A cell with more than ``entries`` entries is dealt to several tasks by
+    Items of one block need no cells: rows are dealt by basket as they are. A
+    cell with more than ``entries`` entries is dealt to several tasks by
     basket, and their matrices are added row by row. What leaves a task is
     bounded by the size of its matrix, however many pairs its baskets hold.
     """
     width = min(block_items, max(n_items, 1))
-    item = F.col("code")
-    blocks = coded.groupBy("basket_id", F.floor(item / width).cast("int").alias("block")).agg(
-        F.collect_list((item % width).cast("int")).alias("items")
-    )
-    one_block = n_items <= width
-    cells = stage(_cells(blocks if one_block else stage(blocks, "item-blocks"), one_block), "block-cells")
-    sizes = stage(
-        cells.groupBy("lo", "hi").agg(F.ceil(F.sum(F.size("left") + F.size("right")) / (2 * entries)).cast("int").alias("splits")),
-        "cell-sizes",
-    )
-    dealt = cells.join(sizes, ["lo", "hi"]).withColumn("split", F.pmod(F.xxhash64("basket_id"), F.col("splits")).cast("int"))
+    most = max(entries, width * width // 4)
 
-    def count(table: pa.Table) -> pa.Table:
-        lo, hi, splits = (table.column(c)[0].as_py() for c in ("lo", "hi", "splits"))
-        counts = count_cell(*_flat(table.column("left")), *_flat(table.column("right")), width)
+    def matrix_rows(counts: np.ndarray, lo: int, hi: int, whole: bool) -> pa.Table:
         if lo == hi:
             counts = np.triu(counts, 1)
-        a, b = np.nonzero(counts >= (min_support if splits == 1 else 1))
+        a, b = np.nonzero(counts >= (min_support if whole else 1))
         firsts = np.flatnonzero(np.diff(a, prepend=-1))
         ends = np.append(firsts, len(a)).astype(np.int32)
-        n = len(firsts)
         return pa.table({
-            "i1": pa.array((lo * width + a[firsts]).astype(np.int32)), "hi": pa.array(np.full(n, hi, dtype=np.int32)),
-            "whole": pa.array(np.full(n, splits == 1)),
+            "i1": pa.array((lo * width + a[firsts]).astype(np.int32)), "hi": pa.array(np.full(len(firsts), hi, dtype=np.int32)),
+            "whole": pa.array(np.full(len(firsts), whole)),
             "others": pa.ListArray.from_arrays(pa.array(ends), pa.array((hi * width + b).astype(np.int32))),
             "counts": pa.ListArray.from_arrays(pa.array(ends), pa.array(counts[a, b])),
         })
 
+    if n_items <= width:
+        splits = max(1, math.ceil(coded.count() / most))
+
+        def count(table: pa.Table) -> pa.Table:
+            baskets, items = _basket_numbers(table.column("basket_id")), table.column("code").to_numpy().astype(np.int64)
+            items = items[np.argsort(baskets, kind="stable")]
+            sizes = np.bincount(baskets)
+            return matrix_rows(count_cell(items, sizes, items, sizes, width), 0, 0, splits == 1)
+
+        split = F.pmod(F.xxhash64("basket_id"), F.lit(splits)).cast("int")
+        groups = coded.select(split.alias("split"), "basket_id", "code").groupBy("split")
+    else:
+        item = F.col("code")
+        blocks = stage(
+            coded.groupBy("basket_id", F.floor(item / width).cast("int").alias("block")).agg(
+                F.collect_list((item % width).cast("int")).alias("items")
+            ), "item-blocks",
+        )
+        cells = stage(_cells(blocks), "block-cells")
+        held = F.sum(F.size("left") + F.size("right")) / (2 * most)
+        sizes = stage(cells.groupBy("lo", "hi").agg(F.ceil(held).cast("int").alias("splits")), "cell-sizes")
+        split = F.pmod(F.xxhash64("basket_id"), F.col("splits")).cast("int")
+        dealt = cells.join(sizes, ["lo", "hi"]).select("lo", "hi", split.alias("split"), "splits", "left", "right")
+
+        def count(table: pa.Table) -> pa.Table:
+            lo, hi, splits = (table.column(c)[0].as_py() for c in ("lo", "hi", "splits"))
+            counts = count_cell(*_flat(table.column("left")), *_flat(table.column("right")), width)
+            return matrix_rows(counts, lo, hi, splits == 1)
+
+        groups = dealt.groupBy("lo", "hi", "split")
+
     def add(table: pa.Table) -> pa.Table:
         i1, hi = table.column("i1")[0].as_py(), table.column("hi")[0].as_py()
         others, counts = _flat(table.column("others"))[0], _flat(table.column("counts"))[0]
@@ -175,9 +198,7 @@ def pair_supports(
         })
 
     found = stage(
-        dealt.select("lo", "hi", "split", "splits", "left", "right").groupBy("lo", "hi", "split").applyInArrow(
-            count, "i1 int, hi int, whole boolean, others array<int>, counts array<bigint>"
-        ), "cell-counts",
+        groups.applyInArrow(count, "i1 int, hi int, whole boolean, others array<int>, counts array<bigint>"), "cell-counts"
     )
     whole = found.where("whole").select("i1", F.explode(F.arrays_zip("others", "counts")).alias("pair")).select(
         "i1", F.col("pair.others").alias("i2"), F.col("pair.counts").alias("support")
@@ -193,29 +214,33 @@ def set_supports(
     """``names`` (codes) and ``support`` of the candidates in at least ``min_support`` baskets.
 
     Candidates are cut into chunks by all items but the last, and baskets into
-    parts by their id; every chunk meets every part of the rows of its items.
+    parts by their id; every chunk meets every part of the rows of its items
+    (a single chunk those of all items).
     """
     chunks = max(1, math.ceil(candidates.count() / at_once))
-    chunk = F.pmod(F.xxhash64(*names[:-1]), F.lit(chunks)).cast("int")
-    sets = stage(candidates.withColumn("chunk", chunk), "candidate-chunks")
-    items = sets.select("chunk", F.explode(F.array(*names)).alias("code")).distinct()
-    rows = stage(coded.join(items, "code").select("chunk", "basket_id", "code"), "chunk-rows")
-    sizes = stage(
-        rows.groupBy("chunk").agg(F.ceil(F.count("*") / entries).cast("int").alias("splits")), "chunk-sizes"
-    )
     split = F.pmod(F.xxhash64("basket_id"), F.col("splits")).cast("int")
-    left = rows.join(sizes, "chunk").select("chunk", split.alias("split"), "basket_id", "code")
-    right = sets.join(sizes, "chunk").withColumn("split", F.explode(F.expr("sequence(0, splits - 1)")))
+    if chunks == 1:
+        splits = F.lit(max(1, math.ceil(coded.count() / entries))).cast("int")
+        left = coded.select(F.lit(0).alias("chunk"), splits.alias("splits"), "basket_id", "code")
+        right = candidates.select(F.lit(0).alias("chunk"), splits.alias("splits"), *names)
+    else:
+        chunk = F.pmod(F.xxhash64(*names[:-1]), F.lit(chunks)).cast("int")
+        sets = stage(candidates.withColumn("chunk", chunk), "candidate-chunks")
+        items = sets.select("chunk", F.explode(F.array(*names)).alias("code")).distinct()
+        rows = stage(coded.join(items, "code").select("chunk", "basket_id", "code"), "chunk-rows")
+        sizes = stage(
+            rows.groupBy("chunk").agg(F.ceil(F.count("*") / entries).cast("int").alias("splits")), "chunk-sizes"
+        )
+        left, right = rows.join(sizes, "chunk"), sets.join(sizes, "chunk")
+    left = left.select("chunk", split.alias("split"), "basket_id", "code")
+    right = right.withColumn("split", F.explode(F.expr("sequence(0, splits - 1)")))
 
     def count(rows: pa.Table, sets: pa.Table) -> pa.Table:
         columns = {name: sets.column(name).to_numpy() for name in names}
         supports = np.zeros(sets.num_rows, dtype=np.int64)
         if rows.num_rows and sets.num_rows:
-            baskets = rows.column("basket_id").combine_chunks().dictionary_encode()
-            baskets = baskets.chunk(0) if isinstance(baskets, pa.ChunkedArray) else baskets
-            supports = count_sets(
-                baskets.indices.to_numpy().astype(np.int64), rows.column("code").to_numpy(), np.stack(list(columns.values()), axis=1)
-            )
+            found = np.stack(list(columns.values()), axis=1)
+            supports = count_sets(_basket_numbers(rows.column("basket_id")), rows.column("code").to_numpy(), found)
         least = min_support if sets.num_rows and sets.column("splits")[0].as_py() == 1 else 1
         often = np.flatnonzero(supports >= least)
         return pa.table({**{n: pa.array(c[often]) for n, c in columns.items()}, "n": pa.array(supports[often])})
