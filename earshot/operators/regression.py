@@ -40,7 +40,8 @@ def labelled(
 def user_moments(rows: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
     """``(user_id, n_rows, means, label_mean, covariance, label_covariance, varies)`` per listener.
 
-    ``covariance`` is the flattened symmetric matrix of the features. Spark
+    ``covariance`` is the flattened symmetric matrix of the features, and
+    ``label_variance`` the label's own. Spark
     merges centred second moments of parts stably, so a listener far from all
     others keeps its digits, and reduces them in each task before the shuffle,
     so one with very many rows is no burden.
@@ -48,7 +49,7 @@ def user_moments(rows: DataFrame, features: Sequence[str], label: str = "label")
     d = len(features)
     names = [*features, label]
     complete = rows.dropna(subset=names).select("user_id", *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)])
-    pairs = [(i, j) for i in range(d) for j in range(i, d + 1)]
+    pairs = [(i, j) for i in range(d + 1) for j in range(i, d + 1)]
     moments = complete.groupBy("user_id").agg(
         F.count("*").alias("n_rows"),
         *[F.avg(f"x{i}").alias(f"s{i}") for i in range(d + 1)],
@@ -59,7 +60,7 @@ def user_moments(rows: DataFrame, features: Sequence[str], label: str = "label")
         "user_id", "n_rows", "varies", F.col(f"s{d}").alias("label_mean"),
         F.array(*[F.col(f"s{i}") for i in range(d)]).alias("means"),
         F.array(*[F.col(f"p{min(i, j)}_{max(i, j)}") for i in range(d) for j in range(d)]).alias("covariance"),
-        F.array(*[F.col(f"p{i}_{d}") for i in range(d)]).alias("label_covariance"),
+        F.array(*[F.col(f"p{i}_{d}") for i in range(d)]).alias("label_covariance"), F.col(f"p{d}_{d}").alias("label_variance"),
     )
 
 
@@ -166,6 +167,51 @@ def fit_gradient_descent(
     return moments.mapInPandas(descend, _model_schema(moments))
 
 
+def fit_user_elastic_net(
+    rows: DataFrame, features: Sequence[str], label: str = "label", max_iter: int = 100,
+    reg_param: float = 0.3, elastic_net_param: float = 0.8, tolerance: float = 1e-10,
+) -> DataFrame:
+    """Elastic-net regression of every listener: ``(user_id, n_rows, weights, intercept)``.
+
+    The objective of ``fit_elastic_net`` for each listener's own rows: half the
+    mean squared error plus ``reg_param`` times the mixed penalty, where features
+    and label are scaled by their deviation. Coordinate descent with soft thresholds runs on the moments of many
+    listeners at once, so the rows are read once; it ends when no weight moves
+    by more than ``tolerance`` or after ``max_iter`` rounds. A listener whose
+    label does not vary, such as one with a single row, gets the mean alone.
+    """
+    moments = user_moments(rows, features, label)
+
+    def descend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            means, covariance, target, label_mean = _stacks(batch)
+            correlation, scaled_target, inverse = _scaled(covariance, target)
+            deviation = np.sqrt(np.maximum(batch["label_variance"].to_numpy(), 0.0))
+            moves = deviation > 0
+            deviation = np.where(moves, deviation, 1.0)
+            second, first = correlation, scaled_target / deviation[:, None]
+            bend = np.where(moves, reg_param * elastic_net_param / deviation, np.inf)
+            shrink = reg_param * (1 - elastic_net_param) / deviation
+            own = np.diagonal(second, axis1=1, axis2=2) + shrink[:, None]
+            weights = np.zeros_like(means)
+            for _ in range(max_iter):
+                moved = 0.0
+                for j in range(means.shape[1]):
+                    rest = first[:, j] - np.einsum("bi,bi->b", second[:, j], weights) + second[:, j, j] * weights[:, j]
+                    cut = np.sign(rest) * np.maximum(np.abs(rest) - bend, 0.0)
+                    new = np.where(inverse[:, j] > 0, cut / np.where(own[:, j] > 0, own[:, j], 1.0), 0.0)
+                    moved = max(moved, float(np.abs(new - weights[:, j]).max()))
+                    weights[:, j] = new
+                if moved <= tolerance:
+                    break
+            weights = weights * deviation[:, None] * inverse
+            yield _models(batch, weights, label_mean - np.einsum("bi,bi->b", weights, means))
+
+    return moments.mapInPandas(descend, _model_schema(moments))
+
+
 def fit_elastic_net(
     rows: DataFrame, features: Sequence[str], label: str = "label", max_iter: int = 10,
     reg_param: float = 0.3, elastic_net_param: float = 0.8,

@@ -205,6 +205,35 @@ ELASTIC_NET = {
 }
 
 
+# the same for every listener; one whose label does not vary keeps its mean
+USER_NET = {
+    **LABELLED,
+    "net": """SELECT user_id, count(*) AS n, avg(size) AS m1, avg(price) AS m2, avg(label) AS my,
+        stddev_pop(size) AS s1, stddev_pop(price) AS s2, stddev_pop(label) AS sy,
+        covar_pop(size, price) / (stddev_pop(size) * stddev_pop(price)) AS r,
+        covar_pop(size, label) / (stddev_pop(size) * stddev_pop(label)) AS q1,
+        covar_pop(price, label) / (stddev_pop(price) * stddev_pop(label)) AS q2,
+        CAST(0.05 AS DOUBLE) / stddev_pop(label) AS reg
+        FROM labelled GROUP BY 1""",
+    "steps": """SELECT user_id, 0 AS t, CAST(0 AS DOUBLE) AS v1, CAST(0 AS DOUBLE) AS v2 FROM net
+            WHERE sy > 0 AND s1 > 0 AND s2 > 0
+        UNION ALL SELECT user_id, t, v1, sign(g2) * greatest(abs(g2) - 0.8 * reg, 0) / (1 + 0.2 * reg) FROM (
+            SELECT user_id, t, v1, q2 - r * v1 AS g2, reg FROM (
+                SELECT user_id, t, sign(g1) * greatest(abs(g1) - 0.8 * reg, 0) / (1 + 0.2 * reg) AS v1, reg, q2, r FROM (
+                    SELECT user_id, t + 1 AS t, q1 - r * v2 AS g1, reg, q2, r FROM steps JOIN net USING (user_id)
+                    WHERE t < 100)))""",
+    "models": """SELECT user_id, n, coalesce(v1 * sy / s1, 0) AS w1, coalesce(v2 * sy / s2, 0) AS w2,
+        my - coalesce(v1 * sy / s1 * m1 + v2 * sy / s2 * m2, 0) AS b
+        FROM net LEFT JOIN (SELECT * FROM steps WHERE t = 100) USING (user_id)""",
+}
+
+
+@query(with_tables("plays features", MODEL_COLUMNS, USER_NET).replace("WITH ", "WITH RECURSIVE ", 1))
+def elastic_net_models(spark, folder):
+    """One model per listener, with a penalty that some features of some listeners overcome."""
+    return _model_columns(G.fit_user_elastic_net(_labelled(spark, folder), NAMES, reg_param=0.05))
+
+
 @query(with_tables("plays features", """SELECT 'size' AS feature, round(w1, 5) AS coefficient FROM fitted
     UNION ALL SELECT 'price', round(w2, 5) FROM fitted UNION ALL SELECT 'flat', CAST(0 AS DOUBLE) FROM fitted
     UNION ALL SELECT '(intercept)', round(my - w1 * m1 - w2 * m2, 3) FROM fitted""", ELASTIC_NET)

@@ -103,6 +103,39 @@ def test_elastic_net_shrinks(spark):
     assert set(strong) == {*NAMES, "(intercept)"} and all(strong[n] == 0.0 for n in NAMES)
 
 
+def test_elastic_net_per_listener_equals_spark_fits(spark):
+    rows = random_rows(4, {"a": 60, "b": 25, "c": 9, "one": 1}) + [("same", i, 4.0, float(i), 1e5, 0.0, 3.0) for i in range(5)]
+    rows = [(u, i, y + a / 20 - 3e-3 * (b - 1e5), a, b, c, f) if u != "same" else r for r in rows for u, i, y, a, b, c, f in [r]]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for reg, mix in ((0.05, 0.8), (0.3, 0.8), (0.5, 0.0), (0.4, 1.0)):
+        got = {r.user_id: r for r in G.fit_user_elastic_net(df, NAMES, reg_param=reg, elastic_net_param=mix, max_iter=500).collect()}
+        assert got.keys() == {"a", "b", "c", "one", "same"}
+        for user in "abc":
+            own = G.fit_elastic_net(df.where(F.col("user_id") == user), NAMES, max_iter=2000, reg_param=reg, elastic_net_param=mix)
+            want = {r.feature: r.coefficient for r in own.collect()}
+            # Spark stops at a tolerance of its own, so effects are compared, not weights of tiny features
+            spread = matrix(rows, user)[0].std(0)
+            assert spread * got[user].weights == pytest.approx(spread * [want[n] for n in NAMES], abs=1e-4)
+            fitted = sum(w * m for w, m in zip(got[user].weights, matrix(rows, user)[0].mean(0))) + got[user].intercept
+            assert fitted == pytest.approx(matrix(rows, user)[1].mean())
+        for user in ("one", "same"):
+            assert got[user].weights == [0.0] * 4 and got[user].intercept == pytest.approx(matrix(rows, user)[1].mean())
+    assert any(got["a"].weights) and got["a"].weights[3] == 0.0
+
+
+def test_elastic_net_weights_meet_the_conditions_of_the_minimum(spark):
+    """Gradients of the fit lie within the penalty where a weight is zero and on its edge where it is not."""
+    rows = random_rows(6, {"u": 40, "v": 12})
+    reg, mix = 0.4, 0.7
+    for r in G.fit_user_elastic_net(spark.createDataFrame(rows, SCHEMA), NAMES, reg_param=reg, elastic_net_param=mix).collect():
+        x, y = matrix(rows, r.user_id)
+        x, w = x[:, :3], np.array(r.weights[:3])
+        s, sy = x.std(0), y.std()
+        slope = ((x / s) * (y - x @ w - r.intercept)[:, None]).mean(0) - reg * (1 - mix) / sy * w * s
+        assert np.abs(slope[w == 0]).max(initial=0) <= reg * mix + 1e-8
+        assert slope[w != 0] == pytest.approx(np.sign(w[w != 0]) * reg * mix, abs=1e-7)
+
+
 def score_data(spark):
     rng = random.Random(7)
     models = [(u, [rng.gauss(0, 1), rng.gauss(0, 1)], rng.gauss(0, 1)) for u in range(23)] + [(99, [0.0, 0.0], 1.0)]
