@@ -100,6 +100,51 @@ def test_predictions_of_all_listeners_equal_brute_force(spark, users_per_block,
     assert all(got[p] == pytest.approx(want[p]) for p in want)
 
 
+@pytest.mark.parametrize("ratings_per_block", [5, 2])
+def test_listeners_in_parts_equal_brute_force(spark, ratings_per_block):
+    rows = random_ratings(6)
+    # one listener rated most songs
+    rows += [("most", s, 1.0 + i % 5) for i, s in enumerate(sorted({r[1] for r in rows})[:-4])]
+    ratings = spark.createDataFrame(rows, SCHEMA)
+    users = ratings.select("user_id").distinct()
+    out = S.predict_from_ratings(
+        ratings, users=users, k=3, min_neighbours=2, songs_per_block=7, ratings_per_block=ratings_per_block
+    ).collect()
+    want = {(u, s): x for u in {r[0] for r in rows} for s, x in brute_prediction(rows, u, 3, 2).items()}
+    got = {(r.user_id, r.song_id): r.score for r in out}
+    assert got.keys() == want.keys() and len(out) == len(got) and any(u == "most" for u, _ in got)
+    assert all(got[p] == pytest.approx(want[p]) for p in want)
+
+
+def test_a_cell_stays_small_for_a_listener_who_rated_most_songs(monkeypatch):
+    """The largest matrix has the ratings of one part, not all songs that a block of listeners rated."""
+    import numpy as np
+    import pyarrow as pa
+
+    laid_out = []
+    zeros = np.zeros
+    monkeypatch.setattr(S.np, "zeros", lambda shape, **how: laid_out.append(shape) or zeros(shape, **how))
+    n_songs, parts = 3000, 30
+    rated = np.tile(np.arange(n_songs), 2)
+    left = pa.table({
+        "user_id": pa.array(["most"] * n_songs + ["other"] * n_songs), "rated_song_id": pa.array(rated),
+        "rating": pa.array(rated % 5 + 1.0), "part": pa.array((rated % parts).astype(np.int32)),
+        "parts": pa.array(np.full(2 * n_songs, parts, dtype=np.int32)),
+    })
+    right = pa.table({
+        "rated_song_id": pa.array(np.repeat(np.arange(n_songs), 2)), "song_id": pa.array(np.tile([5000, 5001], n_songs)),
+        "sim": pa.array(np.linspace(0.1, 0.9, 2 * n_songs)),
+    })
+    out = S._predict_cell(50, 5)(left, right)
+    assert out.num_rows == 2 * parts * 2 and set(out["n"].to_pylist()) == {n_songs // parts}
+    assert max(s[0] * s[1] for s in laid_out if isinstance(s, tuple) and len(s) == 2) == n_songs // parts * 2
+    # the states of a listener's parts merge to the nearest of all
+    near = sorted(
+        (x["minus_sim"], x["rated_song_id"]) for r in out.to_pylist() for x in r["near"] if r["user_id"] == "most" and r["song_id"] == 5001
+    )[:50]
+    assert [s for _, s in near] == list(range(n_songs - 1, n_songs - 51, -1))
+
+
 def test_repeated_rows_give_one_answer(spark):
     rows = random_ratings(5)
     repeated = spark.createDataFrame(rows + rows[::3] + rows[::4], SCHEMA)
