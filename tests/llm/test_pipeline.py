@@ -27,7 +27,7 @@ def test_query_equals_sql(spark, name):
 
 def test_all_queries_are_registered():
     names = entry_points.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in names if name.startswith("op") and name[2].isdigit()}
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in names if name.startswith("op") and name[2].isdigit()}
     assert names["pipeline"] is corpus_pipeline.run
 
 
