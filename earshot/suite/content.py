@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from earshot.operators import catalog as C
 from earshot.operators import features as X
 from earshot.operators import regression as G
 from earshot.operators import scoring as S
@@ -316,3 +317,41 @@ def best_unheard_songs(spark, folder):
 def content_recommendations(spark, folder):
     rows = recommend_by_content(T.plays(spark, folder), T.features(spark, folder), NAMES, 10)
     return _rounded(rows, "score")
+
+
+def _full_rows(spark, folder):
+    """Plays with all numeric features of their songs."""
+    features = X.drop_nan(X.numeric_features(C.song_features(T.songs(spark, folder, full=True))))
+    named = T.plays(spark, folder).withColumn("song_id", F.concat(F.lit("S"), F.col("song_id").cast("string")))
+    return stage(G.labelled(named, features, X.NUMERIC_FEATURES), "full-rows")
+
+
+def _wide_columns(models):
+    weight = [F.round(F.col("weights")[i], 6).alias(f"w_{name}") for i, name in enumerate(X.NUMERIC_FEATURES)]
+    return models.select("user_id", "n_rows", *weight, F.round("intercept", 6).alias("intercept"))
+
+
+@query()
+def full_width_least_squares_models(spark, folder):
+    """Models on all 14 default features."""
+    return _wide_columns(G.fit_ols(_full_rows(spark, folder), X.NUMERIC_FEATURES))
+
+
+@query()
+def full_width_descent_models(spark, folder):
+    return _wide_columns(G.fit_gradient_descent(_full_rows(spark, folder), X.NUMERIC_FEATURES))
+
+
+@query()
+def full_width_elastic_net_models(spark, folder):
+    return _wide_columns(G.fit_user_elastic_net(_full_rows(spark, folder), X.NUMERIC_FEATURES, reg_param=0.02, max_iter=1000))
+
+
+@query()
+def full_width_profile_errors(spark, folder):
+    """Profiles on the nine default features, and the error of their models on held-out rows."""
+    songs = C.profile_features(T.songs(spark, folder, full=True)).withColumnRenamed("trackID", "track_id")
+    profile = user_profile(
+        T.lines(spark, folder), T.song_tracks(spark, folder), T.track_paths(spark, folder), songs
+    )
+    return _rounded(profile_errors(profile), "mse", "rmse")
