@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.operators.ratings import min_item_support, min_user_items
+from earshot.operators.ratings import counted_plays
 
 
 def distinct_users(plays: DataFrame) -> DataFrame:
@@ -76,12 +76,5 @@ def for_user(df: DataFrame, user_id) -> DataFrame:
 
 
 def funnel_counts(plays: DataFrame, min_item_users: int = 10, min_user_songs: int = 5) -> DataFrame:
-    """Row counts along the filters: lines, songs kept, listeners kept, lines kept."""
-    by_song = min_item_support(plays, min_item_users)
-    by_user = min_user_items(by_song, min_user_songs)
-    lines = plays.agg(F.count("*").alias("n")).select(F.lit("lines").alias("stage"), "n")
-    songs = by_song.agg(F.count_distinct("song_id").alias("n")).select(F.lit("songs_kept").alias("stage"), "n")
-    kept = by_user.agg(
-        F.count_distinct("user_id").alias("users_kept"), F.count("*").alias("lines_kept")
-    ).selectExpr("stack(2, 'users_kept', users_kept, 'lines_kept', lines_kept) AS (stage, n)")
-    return lines.unionByName(songs).unionByName(kept)
+    """Row counts along the filters of ``counted_plays``: lines, songs kept, listeners kept, lines kept."""
+    return counted_plays(plays, min_item_users, min_user_songs)[1]

@@ -35,6 +35,32 @@ def qualified_plays(plays: DataFrame, min_item_users: int = 10, min_user_songs:
     return min_user_items(min_item_support(plays, min_item_users), min_user_songs)
 
 
+def counted_plays(
+    plays: DataFrame, min_item_users: int = 10, min_user_songs: int = 5
+) -> tuple[DataFrame, DataFrame]:
+    """``qualified_plays`` and, from the same run, ``(stage, n)`` along its filters.
+
+    The stages are ``lines``, ``songs_kept``, ``users_kept`` and
+    ``lines_kept``. They are read off the stored counts that the thresholds
+    compare, so neither the plays nor the filters are evaluated for them.
+    """
+    songs = stage(plays.groupBy("song_id").agg(F.count("*").alias("n")), "song-counts")
+    often = songs.where((F.col("n") >= min_item_users) & F.col("song_id").isNotNull())
+    by_song = plays.join(often, "song_id", "left_semi")
+    users = by_song.groupBy("user_id").agg(F.count("*").alias("n"))
+    active = stage(users.where((F.col("n") >= min_user_songs) & F.col("user_id").isNotNull()), "active-users")
+    kept = by_song.join(active, "user_id", "left_semi")
+
+    def row(name: str, counts: DataFrame, value) -> DataFrame:
+        return counts.agg(F.coalesce(value, F.lit(0)).cast("bigint").alias("n")).select(F.lit(name).alias("stage"), "n")
+
+    funnel = (
+        row("lines", songs, F.sum("n")).unionByName(row("songs_kept", often, F.count("*")))
+        .unionByName(row("users_kept", active, F.count("*"))).unionByName(row("lines_kept", active, F.sum("n")))
+    )
+    return kept, funnel
+
+
 def to_ratings(
     plays: DataFrame, scale: str = "log2", min_item_users: int = 10, min_user_songs: int = 5
 ) -> DataFrame:

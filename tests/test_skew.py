@@ -61,3 +61,22 @@ def test_parts_of_a_basket_are_dealt_out(hot):
     plan = parts._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_COL" in plan
     assert parts.agg(F.sum(F.size("items"))).first()[0] == rows.count()
+
+
+def test_funnel_comes_from_the_run_of_the_filters(spark):
+    """Counts equal those of the kept rows, and reading them opens no play again."""
+    plays = spark.createDataFrame(
+        [(u, s, 1) for u in range(30) for s in range(u % 9)] + [(None, 1, 1), (1, None, 1), (2, 2, 1)],
+        "user_id int, song_id int, play_count int",
+    )
+    kept, funnel = R.counted_plays(plays, 10, 5)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(map(tuple, R.qualified_plays(plays, 10, 5).collect()), key=str)
+    rows = kept.collect()
+    wanted = {
+        "lines": plays.count(), "songs_kept": R.min_item_support(plays, 10).select("song_id").distinct().count(),
+        "users_kept": len({r.user_id for r in rows}), "lines_kept": len(rows),
+    }
+    assert {r.stage: r.n for r in funnel.collect()} == wanted and rows
+    plan = funnel._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "ExistingRDD" not in plan
+    assert {r.n for r in R.counted_plays(plays.limit(0))[1].collect()} == {0}
