@@ -96,6 +96,36 @@ def test_user_feature_sink_and_source(spark, tmp_path):
     ]
 
 
+def test_user_feature_buckets_hold_every_row(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("u/1", "s1", 2.5, None), ("u2", "s2", 1.0, 'say "hi", all'), (None, "s3", None, ""), ("", "s4", 4.0, "x"), ("u2", "s2", 1.0, "y")],
+        "user_id STRING, songID STRING, duration DOUBLE, songTitle STRING",
+    )
+    K.write_user_feature_buckets(df, str(tmp_path / "out"), 4)
+    got = R.read_user_feature_buckets(spark, str(tmp_path / "out")).select(*df.columns)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    for user in ("u/1", "u2", "", "nobody"):
+        own = R.read_user_feature_buckets(spark, str(tmp_path / "out"), user).select(*df.columns)
+        assert sorted(map(tuple, own.collect()), key=str) == sorted((tuple(r) for r in df.collect() if r.user_id == user), key=str)
+
+
+def test_files_of_buckets_do_not_grow_with_listeners(spark, tmp_path):
+    """Beside that, one listener with most rows is spread over files, and reading one opens one bucket."""
+    files = {}
+    for users in (50, 3000):
+        df = spark.range(9000).select(
+            F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id") % users).alias("user_id"), F.col("id").cast("string").alias("songID")
+        )
+        K.write_user_feature_buckets(df, str(tmp_path / str(users)), 8)
+        files[users] = len(list((tmp_path / str(users)).glob("buckets=8/bucket=*/*.parquet")))
+    assert max(files.values()) <= 8 + 8
+    own = R.read_user_feature_buckets(spark, str(tmp_path / "3000"), "0")
+    assert own.count() == 6000 + len([i for i in range(2, 9000, 3) if i % 3000 == 0])
+    opened = {r[0].rsplit("/", 2)[1] for r in own.select(F.input_file_name()).distinct().collect()}
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert len(opened) == 1 and "PartitionFilters: [isnotnull(bucket" in plan
+
+
 def test_user_paths_round_trip_in_line_order_and_in_parts(spark, tmp_path):
     df = spark.createDataFrame([("u", "b", 1), ("u", "a", 2), ("v", "c", 3)], "user_id STRING, path STRING, line INT")
     K.write_user_paths(df, str(tmp_path / "p"))
