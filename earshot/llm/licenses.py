@@ -1,18 +1,22 @@
 """License texts by exact set-similarity join with templates.
 
-A text block is a window of words. A template is found in a block that holds
-at least ``containment`` of its distinct words. Words are put in the order of
+A template is found in a text where a run of as many words as the template has
+holds at least ``containment`` of its distinct words, the words that name its
+license among them and no word that names another. Runs are looked for in
+blocks of words. Words are put in the order of
 their frequency in the corpus, rarest first. If a template of m words must
 share o of them, one of its m - o + 1 rarest words is in the block, so blocks
 meet templates only on those (prefix); blocks with fewer template words than o
 are left out before (length), and a pair goes on only while the words left on
-either side can still make up o (position). Every pair left is counted.
+either side can still make up o (position). In every pair left, all runs of
+the block are counted.
 """
 
 from __future__ import annotations
 
 from fractions import Fraction
 from math import ceil
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,9 +26,28 @@ from earshot.session import stage
 
 WORD_BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CONTAINMENT = Fraction(4, 5)
-# blocks have two steps of words and start at every step, so any ``STEP`` words in a row are in one block
+# blocks have two steps of words and start at every step, so any step of words in a row is in one block;
+# the step is the longest template's length, this at least
 STEP = 32
 
+
+class Template(NamedTuple):
+    """Words by which a license is given: ``naming`` ones must stand in a run, ``other`` ones must not."""
+
+    label: str
+    text: str
+    naming: str = ""
+    other: str = ""
+
+    @property
+    def words(self) -> list[str]:
+        return sorted(set(self.text.split()))
+
+    @property
+    def span(self) -> int:
+        return len(self.text.split())
+
+
 # Phrases that name a license, by label.
 PHRASES = {
     "mit": "mit license",
@@ -32,22 +55,24 @@ PHRASES = {
     "gpl": "general public license",
 }
 
-# Sentences by which licenses are given, by label.
+# Sentences by which licenses are given, by label, with the words that tell them from others.
 TEMPLATES = [
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and "
-            "associated documentation files to deal in the software without restriction"),
-    ("apache", "licensed under the apache license version 2 0"),
-    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("gpl", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu "
-            "general public license as published by the free software foundation"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted "
-            "provided that the following conditions are met"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("reserved", "all rights reserved"),
+    Template("mit", "released under the mit license", "mit"),
+    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and "
+                    "associated documentation files to deal in the software without restriction"),
+    Template("apache", "licensed under the apache license version 2 0", "apache"),
+    Template("apache", "you may not use this file except in compliance with the license you may obtain a copy of the "
+                       "license at"),
+    Template("gpl", "this work is licensed under the gnu general public license version 3", "gnu general public"),
+    Template("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+                    "general public license as published by the free software foundation", "gnu general public"),
+    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted "
+                    "provided that the following conditions are met"),
+    Template("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc", "sa nd"),
+    Template("cc-by", "this work is licensed under a creative commons attribution 4 0 international license",
+             "creative commons attribution", "noncommercial sharealike noderivatives"),
+    Template("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla"),
+    Template("reserved", "all rights reserved", "all rights reserved"),
 ]
 
 
@@ -61,6 +86,12 @@ def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+# the most words of a template in a run of the block that names its license and no other
+RUN_SHARED = """array_max(transform(
+    transform(sequence(0, greatest(size(words) - span, 0)), i -> slice(words, i + 1, span)),
+    run -> IF(size(array_except(naming, run)) = 0 AND NOT arrays_overlap(run, other), size(array_intersect(run, own)), 0)))"""
+
+
 def needed(words: int, containment: Fraction) -> int:
     return max(1, ceil(words * containment))
 
@@ -97,14 +128,18 @@ def scan(
     ``last_word`` and ``base_labels``, a row for every row of ``docs``. Blocks:
     ``row_tag``, ``block_start``, ``template`` (its number), ``label`` and
     ``share`` of the template's words. A text shorter than a block is one
-    block; null and empty texts have no words and no block. Templates longer
-    than ``step`` words may spread over two blocks and are refused.
+    block and, if shorter than a template, one run; null and empty texts have
+    no words and no block. A very long text becomes many blocks of two steps.
+    Repeated rows get equal results, an empty table gives no rows, and other
+    columns of ``docs`` are not read, so none can clash. ``templates`` holds
+    ``Template`` or pairs of label and text. Blocks are as long as the longest
+    needs, but have two ``step`` of words at least. ``share`` is the largest of
+    a block's runs.
     """
     spark = docs.sparkSession
-    templates = TEMPLATES if templates is None else templates
-    sets = [(i, label, sorted(set(text.split()))) for i, (label, text) in enumerate(templates)]
-    if any(len(text.split()) > step for _, text in templates):
-        raise ValueError(f"a template may have at most {step} words")
+    templates = [Template(*t) for t in (TEMPLATES if templates is None else templates)]
+    sets = [(i, t.label, t.words) for i, t in enumerate(templates)]
+    step = max([step, *(t.span for t in templates)])
     vocabulary = sorted({word for _, _, words in sets for word in words})
     source = numbered(docs.select(id_column, text_column))
 
@@ -135,10 +170,12 @@ def scan(
         ranked = sorted(own, key=place.__getitem__)
         least = needed(len(ranked), containment)
         for position, word in enumerate(ranked[:len(ranked) - least + 1]):
-            index.append((number, label, word, position, len(ranked), least, ranked))
+            index.append((number, label, word, position, len(ranked), least, ranked, templates[number].span,
+                          templates[number].naming.split(), templates[number].other.split()))
     # bounded by the templates
     index_table = F.broadcast(spark.createDataFrame(
-        index, "template int, label string, word string, position int, length int, least int, own array<string>"
+        index, "template int, label string, word string, position int, length int, least int, own array<string>, "
+               "span int, naming array<string>, other array<string>"
     ))
 
     fewest = min(needed(len(own), containment) for _, _, own in sets)
@@ -147,20 +184,27 @@ def scan(
         rows.where("plain is not null")
         .select(TAG, F.split(F.trim("plain"), " ").alias("words"))
         .withColumn("block_start", F.explode(starts))
-        .select(TAG, "block_start",
-                F.array_intersect(ordered, F.slice("words", F.col("block_start") + 1, F.lit(2 * step))).alias("block"))
+        .select(TAG, "block_start", F.slice("words", F.col("block_start") + 1, F.lit(2 * step)).alias("words"))
+        .withColumn("block", F.array_intersect(ordered, "words"))
         .where(F.size("block") >= fewest)
     )
-    met = blocks.select(TAG, "block_start", "block", F.posexplode("block").alias("at", "word")).join(index_table, "word")
+    met = blocks.select(TAG, "block_start", "block", "words", F.posexplode("block").alias("at", "word")).join(
+        index_table, "word"
+    )
     room = 1 + F.least(F.col("length") - F.col("position") - 1, F.size("block") - F.col("at") - 1)
     shared = F.size(F.array_intersect("block", "own"))
     found = (
         met.where(F.size("block") >= F.col("least"))
         # the first word both have is the one they meet on, so nothing before it counts
         .where(room >= F.col("least"))
-        .where(shared >= F.col("least"))
-        .groupBy(TAG, "block_start", "template", "label")
-        .agg(F.max(shared / F.col("length")).alias("share"))
+        .where((shared >= F.col("least")) & (F.size(F.array_except("naming", "block")) == 0))
+        # a block and a template may meet on several prefix words
+        .groupBy(TAG, "block_start", "template", "label").agg(*[
+            F.first(c).alias(c) for c in ("words", "own", "span", "naming", "other", "least", "length")
+        ])
+        .withColumn("shared", F.expr(RUN_SHARED))
+        .where(F.col("shared") >= F.col("least"))
+        .select(TAG, "block_start", "template", "label", (F.col("shared") / F.col("length")).alias("share"))
     )
     return rows.drop("hits", "plain"), found
 

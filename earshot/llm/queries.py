@@ -47,24 +47,25 @@ def _sql_words(text: str) -> str:
 
 
 def _license_sql() -> str:
-    """Every phrase at every place and every template in every block, without any filter."""
+    """Every phrase at every place and every template in every run of words, without blocks or prefixes."""
     phrases = ", ".join(f"('{label}', {_sql_words(text)})" for label, text in licenses.PHRASES.items())
     templates = ", ".join(
-        f"('{label}', list_distinct({_sql_words(text)}), {licenses.needed(len(set(text.split())), licenses.CONTAINMENT)})"
-        for label, text in licenses.TEMPLATES
+        f"('{t.label}', {_sql_words(' '.join(t.words))}, {licenses.needed(len(t.words), licenses.CONTAINMENT)}, {t.span}, "
+        f"{_sql_words(t.naming)}::VARCHAR[], {_sql_words(t.other)}::VARCHAR[])" for t in licenses.TEMPLATES
     )
-    step = licenses.STEP
     return rf"""WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
-    phrases(label, own) AS (VALUES {phrases}), templates(label, own, least) AS (VALUES {templates}),
+    phrases(label, own) AS (VALUES {phrases}),
+    templates(label, own, least, span, naming, other) AS (VALUES {templates}),
     places AS (SELECT doc_id, i - 1 AS place, label FROM w, (SELECT unnest(range(1, len(ws) + 1)) AS i) AS t, phrases
         WHERE list_slice(ws, i, i + len(own) - 1) = own),
     base AS (SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi,
         string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY 1),
-    blocks AS (SELECT doc_id, list_distinct(list_slice(ws, b + 1, b + {2 * step})) AS block
-        FROM w, (SELECT unnest(range(0, greatest(len(ws) - {step + 1}, 0) + 1, {step})) AS b) AS t),
-    found AS (SELECT doc_id, label, len(list_intersect(block, own)) / len(own) AS share FROM blocks, templates
-        WHERE len(list_intersect(block, own)) >= least),
+    near AS (SELECT * FROM w, templates WHERE len(list_intersect(list_distinct(ws), own)) >= least),
+    runs AS (SELECT doc_id, label, own, least, naming, other, list_distinct(list_slice(ws, i, i + span - 1)) AS run
+        FROM near, (SELECT unnest(range(1, greatest(len(ws) - span, 0) + 2)) AS i) AS t),
+    found AS (SELECT doc_id, label, len(list_intersect(run, own)) / len(own) AS share FROM runs
+        WHERE len(list_intersect(run, own)) >= least AND list_has_all(run, naming) AND NOT list_has_any(run, other)),
     every_label AS (SELECT doc_id, label FROM places UNION SELECT doc_id, label FROM found),
     named AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM every_label GROUP BY 1),
     best AS (SELECT doc_id, max(share) AS share FROM found GROUP BY 1)

@@ -99,14 +99,15 @@ def brute_licenses(text):
                 places.append(i)
                 base.add(label)
     labels, best = set(base), 1.0 if places else 0.0
-    step = licenses.STEP
-    for start in range(0, max(len(words) - step - 1, 0) + 1, step):
-        block = set(words[start:start + 2 * step])
-        for label, template in licenses.TEMPLATES:
-            own = set(template.split())
-            if len(block & own) >= len(own) * licenses.CONTAINMENT:
-                labels.add(label)
-                best = max(best, len(block & own) / len(own))
+    for template in licenses.TEMPLATES:
+        own = set(template.words)
+        for start in range(max(len(words) - template.span, 0) + 1):
+            run = set(words[start:start + template.span])
+            if set(template.naming.split()) - run or set(template.other.split()) & run:
+                continue
+            if len(run & own) >= len(own) * licenses.CONTAINMENT:
+                labels.add(template.label)
+                best = max(best, len(run & own) / len(own))
     return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)),
             ",".join(sorted(labels)), best)
 
@@ -115,7 +116,7 @@ def test_licenses_by_brute_force(spark):
     texts = [
         "Released under the MIT License.", "x " * 70 + "apache license, MIT-LICENSE; General\nPublic License",
         "mit license mit license apache license", "permit license", "mit licenses",
-        "a b c " * 20 + licenses.TEMPLATES[1][1] + " d e f" * 30, " ".join(licenses.TEMPLATES[5][1].split()[2:]),
+        "a b c " * 20 + licenses.TEMPLATES[1].text + " d e f" * 30, " ".join(licenses.TEMPLATES[5].text.split()[2:]),
         "w " * 60 + "all rights reserved " + "w " * 60, "Kelvin K mit LİCENSE", "licensed under cc by nc 4.0",
     ]
     rows = [(d, t, None, None, None) for d, t, *_ in EDGES] + [(50 + i, t, None, None, None) for i, t in enumerate(texts)]
@@ -127,6 +128,35 @@ def test_licenses_by_brute_force(spark):
     assert licenses.license_labels(docs.limit(0)).count() == 0
 
 
+def test_a_notice_of_another_license_gets_its_own_label(spark):
+    wanted = {
+        "Released under the Apache License": "apache", "released under the BSD license": "",
+        "Licensed under CC BY 4.0": "", "licensed under CC BY-NC 4.0": "cc-by-nc", "licensed under CC BY-NC-SA 4.0": "",
+        "some software license, version 2.0, was licensed under the old rules": "",
+        "Licensed under the Apache License, Version 2.0 (the License)": "apache",
+        "reserved seats for all; human rights": "", "(c) someone. All rights reserved.": "reserved",
+        "Distributed and released under the MIT license.": "mit",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.": "cc-by",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": "",
+    }
+    docs = spark.createDataFrame(list(enumerate(wanted)), "doc_id bigint, text string")
+    found = {r.doc_id: r.labels for r in licenses.license_labels(docs).collect()}
+    assert {text: found[i] for i, text in enumerate(wanted)} == wanted
+
+
+def test_a_long_template_is_found_across_blocks(spark):
+    whole = [f"w{i}" for i in range(160)]
+    cut = [w for i, w in enumerate(whole) if i % 5]  # 128 of 160 words, in a run of 160 with others between
+    filled = [w if i % 5 else f"x{i}" for i, w in enumerate(whole)]
+    texts = {
+        1: " ".join(["a"] * 333 + whole + ["b"] * 50), 2: " ".join(["a"] * 97 + filled), 3: " ".join(cut),
+        4: " ".join(filled[:-1]), 5: " ".join(whole[:80] + ["y"] * 100 + whole[80:]),
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    out = {r.doc_id: (r.labels, r.score) for r in licenses.license_labels(docs, templates=[("long", " ".join(whole))]).collect()}
+    assert out == {1: ("long", 1.0), 2: ("long", 0.8), 3: ("long", 0.8), 4: ("", 0.0), 5: ("", 0.0)}
+
+
 def test_needed_words_are_exact():
     assert licenses.needed(5, Fraction(4, 5)) == 4 and licenses.needed(6, Fraction(4, 5)) == 5
 
