@@ -107,7 +107,11 @@ def shard(
     of a shard run from 0 without gaps, in the order of its ranges, keys and
     ids. Equal texts share a shard unless they are larger than one. The driver
     holds a sample of about ``sample`` keys and one row per range and heavy
-    text, all bounded by the parameters. An empty table gives no rows.
+    text, all bounded by the parameters. A text is heavy by its bytes or its
+    rows and is dealt into units by the row, so no unit is large. A very long
+    text is a row like any other, repeated rows and ties are told apart by a
+    tag, and other columns of ``docs`` are not read. An empty table gives no
+    rows.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
@@ -122,7 +126,8 @@ def shard(
     groups = stage(rows.groupBy("key").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "shard-groups")
     total, n_rows = groups.agg(F.sum("bytes"), F.sum("n")).first()
     total, n_rows = total or 0, n_rows or 0
-    is_heavy = F.col("bytes") > total / (shards * HEAVY)
+    # very short texts may be few bytes and yet many rows
+    is_heavy = (F.col("bytes") > total / (shards * HEAVY)) | (F.col("n") > n_rows / (shards * HEAVY))
     heavy = groups.where(is_heavy).collect()
     light_groups = groups.where(~is_heavy)
     light_total = total - sum(r.bytes for r in heavy)
@@ -132,7 +137,7 @@ def shard(
     # heavy texts become units of their own, dealt out by a hash of the row so that no unit is large
     first, starts, owner = len(splitters) + 1, [], {}
     for row in sorted(heavy, key=lambda r: r.key):
-        parts = min(row.n, ceil(row.bytes * ranges / total))
+        parts = min(row.n, max(ceil(row.bytes * ranges / total), ceil(row.n * ranges / n_rows)))
         starts.append((row.key, first, parts))
         owner |= {first + i: row.key for i in range(parts)}
         first += parts

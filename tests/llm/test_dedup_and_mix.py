@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+from earshot import session
 from earshot.llm import exact_dedup, mixing, sharding
 from tests.llm.helpers import DOCS, EDGES, clashing, edge_table, split_words
 
@@ -105,6 +106,19 @@ def test_shards(spark):
     assert sum(len(s) > 1 for s in shards_of.values()) == 1
 
 
+def test_units_are_bounded_by_rows(spark):
+    rows = [(i, "" if i % 3 == 0 else f"text number {i} " * 20, None, None, None) for i in range(12_000)]
+    out = sharding.shard(spark.createDataFrame(rows, DOCS), ranges=64)
+    path = [p for p in session._staged_paths if "/shard-units-" in p][-1]
+    counts = [r["count"] for r in spark.read.parquet(path).groupBy("unit").count().collect()]
+    assert max(counts) <= 3 * len(rows) / 64
+    slots = defaultdict(list)
+    for r in out.collect():
+        slots[r.shard].append(r.slot)
+    assert sum(map(len, slots.values())) == len(rows)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_shards_of_edges(spark):
     out = sharding.shard(clashing(edge_table(spark))).collect()
     assert len(out) == len(EDGES)
@@ -119,4 +133,4 @@ def test_empty_tables(spark):
 
 
 def test_stages_are_in_order():
-    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact dedup", "near dedup", "mixing", "encoding"]
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact dedup", "SimHash near dedup", "mixing", "encoding"]
