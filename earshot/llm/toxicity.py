@@ -200,12 +200,24 @@ def _apply(docs: DataFrame, model: tuple[np.ndarray, float], text_column: str, e
     return docs.mapInArrow(run, ", ".join(fields + [f"`{k}` {v}" for k, v in extra.items()]))
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores while ``docs`` has a column of that name in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text_column: str = "text", name: str = "toxicity") -> DataFrame:
     """``docs`` with the probability that some sentence is toxic, as column ``name``.
 
     Every row is scored on its own and its whole text. Null, empty and wordless
-    texts score 0. ``name`` must not be a column of ``docs``.
+    texts score 0; a very long text is scored sentence by sentence like any
+    other. Repeated rows score the same, so ties are equal scores, and an empty
+    table gives no rows. If ``docs`` has a column called ``name`` in any case,
+    the score's name gets underscores (``free_name``).
     """
+    name = free_name(docs, name)
     return _apply(docs, model, text_column, {name: "double"}, lambda text, clean, owner: [
         pa.array(np.abs(-np.expm1(np.bincount(owner, clean, minlength=len(text)).astype(float)))),
     ])
@@ -225,10 +237,8 @@ def offending_sentences(docs: DataFrame, model: tuple[np.ndarray, float], id_col
 
 
 def reject_toxic(docs: DataFrame, model: tuple[np.ndarray, float], text_column: str = "text", cut: float = CUT) -> DataFrame:
-    """The rows of ``docs`` that score below ``cut``, all columns kept."""
-    name = "toxicity"
-    while name in docs.columns:
-        name += "_"
+    """The rows of ``docs`` that score below ``cut``, all columns kept, whatever their names."""
+    name = free_name(docs, "toxicity")
     return score(docs, model, text_column, name).where(F.col(name) < cut).drop(name)
 
 

@@ -184,6 +184,10 @@ def test_toxic_sentences_are_found(spark):
     found = toxicity.offending_sentences(docs, model).collect()
     assert {(r.doc_id, r.sentence) for r in found} == {(i, 3) for i, toxic in labels if toxic}
     assert toxicity.reject_toxic(clashing(docs), model).count() == 150
+    upper = docs.withColumn("Toxicity", F.lit("own"))
+    assert toxicity.reject_toxic(upper, model).columns == upper.columns
+    assert toxicity.reject_toxic(upper, model).count() == 150
+    assert toxicity.score(upper, model).columns == [*upper.columns, "toxicity_"]
 
 
 def test_toxicity_of_edges(spark):
