@@ -77,6 +77,17 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         yield batch.slice(start, end - start)
 
 
+def restored(kind: type, state: dict):
+    """An object with the given ``vars``.
+
+    Broadcasts are pickled by reference to their classes, which executors may
+    lack; plain state goes out instead, and the class comes with the task.
+    """
+    made = object.__new__(kind)
+    vars(made).update(state)
+    return made
+
+
 def word_codes(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """Words of every text in ASCII lower case, split at ASCII white space.
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import TAG, numbered
+from earshot.llm.common import TAG, numbered, restored
 from earshot.llm.components import connected_components, over_groups, split_hot
 from earshot.session import ship_with_jobs, stage
 
@@ -91,14 +91,14 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 def _in_leaves(entries: DataFrame, forests: dict[int, Forest]) -> DataFrame:
     """A row per vector, tree and leaf, with the leaves the vector met before."""
-    shared = entries.sparkSession.sparkContext.broadcast(forests)
+    shared = entries.sparkSession.sparkContext.broadcast({dim: vars(f) for dim, f in forests.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                forest = shared.value[int(dim)]
+                forest = restored(Forest, shared.value[int(dim)])
                 unit = _unit(_matrix(part.column("vector"), int(dim)))
                 label = part.column("label_key").to_numpy()
                 rows, leaves = [], []

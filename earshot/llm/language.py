@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import slices
+from earshot.llm.common import restored, slices
 from earshot.session import ship_with_jobs
 
 WINDOW = 128
@@ -178,8 +178,9 @@ def train(docs: DataFrame, trains: Column, text_column: str = "text", language_c
     ])
     rows = (
         labelled.join(F.broadcast(chances), "lang").where(drawn < F.col("chance"))
-        .select("lang", "id", pieces.alias("pieces")).toPandas().sort_values(["lang", "id"])
+        .select("lang", "id", drawn.alias("drawn"), pieces.alias("pieces")).toPandas()
     )
+    rows = rows.assign(held=rows["pieces"].map(tuple)).sort_values(["lang", "drawn", "id", "held"])
     names = sorted(r["lang"] for r in counts)
     windows, target = [], []
     for name, group in rows.groupby("lang"):
@@ -206,11 +207,11 @@ def predict(docs: DataFrame, network: Network | None, id_column: str = "doc_id",
         F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(network)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(network) if network else None)
     made: dict[str, list] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = shared.value
+        net = restored(Network, shared.value) if shared.value else None
         tables = made.get("tables") or made.setdefault("tables", net.tables() if net else [])
         for batch in batches:
             for part in slices(batch, limit=1 << 19):
