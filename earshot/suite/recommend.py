@@ -83,6 +83,12 @@ def top_neighbours(spark, folder):
     return _rounded(S.top_neighbours(S.item_similarity(ratings, mine), 5), "sim", digits=9)
 
 
+@query(with_tables("norms", "SELECT rated_song_id, song_id, round(sim, 9) AS sim FROM sims "
+                   "WHERE sim >= 0.25 AND rated_song_id < song_id", {"mine": "SELECT DISTINCT song_id FROM ratings", "sims": SIMS}))
+def similar_pairs_of_all_songs(spark, folder):
+    return _rounded(S.similar_pairs(_ratings(spark, folder), 0.25), "sim", digits=9)
+
+
 PREDICTIONS = with_tables("norms", """SELECT user_id, song_id, round(score, 6) AS score FROM predicted
     ORDER BY round(score, 9) DESC, song_id""", _prediction_tables(MINE))
 

@@ -261,3 +261,37 @@ def test_scales(spark):
     assert [r.r for r in rows] == [1.0, 2.0, 16.0, 1000.0]
     with pytest.raises(ValueError):
         scale_rating(F.col("c"), "ln")
+
+
+@pytest.mark.parametrize("min_sim", [0.05, 0.4, 0.8])
+@pytest.mark.parametrize("fanout", [1000, 3])
+def test_similar_pairs_by_brute_force(spark, min_sim, fanout):
+    rows = random_ratings(4)
+    # one listener rated everything, two songs are alike, one song is rated alike by all
+    rows += [("all", s, 1.0 + i % 5) for i, s in enumerate(sorted({s for _, s, _ in rows}))]
+    first = rows[0][1]
+    rows += [(u, "twin", r) for u, s, r in rows if s == first] + [(f"u0{i}", "flat", 3.0) for i in range(5)]
+    got = {
+        (r.rated_song_id, r.song_id): r.sim
+        for r in S.similar_pairs(spark.createDataFrame(rows, SCHEMA), min_sim, fanout=fanout, users_per_block=4, songs_per_block=3).collect()
+    }
+    want = {p: s for p, s in brute_cosines(rows).items() if p[0] < p[1] and round(s, 12) >= min_sim}
+    assert got.keys() == want.keys() and want
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in want)
+
+
+def test_most_pairs_of_all_songs_are_never_formed(spark):
+    import random
+
+    draw = random.Random(5)
+    songs = [f"s{i:03}" for i in range(300)]
+    # half of all rows are of three listeners; the others rated six songs each
+    rows = [(f"big{k}", s, float(draw.randint(1, 5))) for k in range(3) for s in songs]
+    rows += [(f"u{i}", s, float(draw.randint(1, 5))) for i in range(150) for s in draw.sample(songs, 6)]
+    ratings = spark.createDataFrame(rows, SCHEMA)
+    together = 300 * 299 // 2  # the three listeners join every pair
+    unit = S.unit_rows(ratings)
+    formed = S.candidate_pairs(unit, 0.9).count()
+    assert formed < together / 4
+    found = {(r.rated_song_id, r.song_id) for r in S.similar_pairs(ratings, 0.9).collect()}
+    assert found == {p for p, s in brute_cosines(rows).items() if p[0] < p[1] and round(s, 12) >= 0.9}
