@@ -38,6 +38,25 @@ def item_popularity(plays: DataFrame, ordered: bool = False) -> DataFrame:
     return popularity.orderBy(F.desc("distinct_users"), "song_id") if ordered else popularity
 
 
+def distinct_sketches(plays: DataFrame, key: str, value: str, lg_k: int = 12) -> DataFrame:
+    """A mergeable sketch per ``key`` of its distinct ``value``s, as ``sketch``.
+
+    A sketch has at most about ``2 ** lg_k`` bytes whatever it has seen, so
+    counts of a day can be stored and added up over days without the plays.
+    """
+    return plays.groupBy(key).agg(F.hll_sketch_agg(F.col(value), F.lit(lg_k)).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, key: str) -> DataFrame:
+    """One sketch per ``key`` of all values that any of its sketches has seen."""
+    return sketches.groupBy(key).agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def estimated_distinct(sketches: DataFrame, key: str, name: str = "estimate") -> DataFrame:
+    """Estimated number of distinct values per ``key``; the standard error is about ``1.04 / sqrt(2 ** lg_k)``."""
+    return sketches.select(key, F.hll_sketch_estimate("sketch").alias(name))
+
+
 def popular_items(plays: DataFrame, min_users: int = 900) -> DataFrame:
     """Songs with more than ``min_users`` distinct listeners."""
     return item_popularity(plays).where(F.col("distinct_users") > min_users)

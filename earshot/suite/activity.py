@@ -25,6 +25,23 @@ def distinct_items(spark, folder):
     return A.distinct_items(T.plays(spark, folder))
 
 
+def _within_bound(exact, estimates):
+    # four standard errors of sketches of 4,096 bytes
+    near = F.abs(F.col("estimate") - F.col("exact")) <= F.greatest(F.lit(1.0), 4 * 1.04 / 64 * F.col("exact"))
+    return exact.join(estimates, "song_id", "full_outer").select("song_id", "exact", F.coalesce(near, F.lit(False)).alias("near"))
+
+
+@query(with_tables("plays", "SELECT song_id, count(DISTINCT user_id) AS exact, true AS near FROM plays GROUP BY 1"))
+def estimated_listeners_of_songs(spark, folder):
+    """Distinct listeners per song, and whether sketches of two halves of the plays, merged, come near."""
+    plays = stage(T.plays(spark, folder), "plays")
+    half = F.pmod(F.xxhash64("user_id", "song_id"), F.lit(2))
+    halves = [A.distinct_sketches(plays.where(half == n), "song_id", "user_id") for n in (0, 1)]
+    merged = A.merged_sketches(halves[0].union(halves[1]), "song_id")
+    exact = A.item_popularity(plays).select("song_id", F.col("distinct_users").alias("exact"))
+    return _within_bound(exact, A.estimated_distinct(merged, "song_id"))
+
+
 USER_ACTIVITY = """SELECT user_id, CAST(sum(play_count) AS BIGINT) AS total_plays,
     count(DISTINCT song_id) AS distinct_songs FROM plays GROUP BY 1 ORDER BY distinct_songs, user_id"""
 
