@@ -209,6 +209,35 @@ def test_songs_scalars_catalog_and_listed_files(spark, tmp_path):
     assert R.read_listed(spark, relative, str(tmp_path / "songs")).count() == 2
 
 
+def test_unlisted_files_are_not_opened(spark, tmp_path):
+    from earshot.suite import tables as T
+
+    data = tmp_path / "records"
+    T.songs(spark, "/root/testdata/sf0.001").repartition(6).write.parquet(str(data))
+    files = sorted(data.glob("*.parquet"))
+    want = sum(spark.read.schema(schemas.SONGS).parquet(str(f)).count() for f in files[:2])
+    # reading one of these would fail, as bad files are not passed over
+    for bad in files[2:]:
+        bad.write_text("not parquet")
+    (data / f".{files[3].name}.crc").unlink(missing_ok=True)
+    odd = data / "a b%41é.parquet"
+    odd.write_bytes(files[0].read_bytes())
+    listing = write(tmp_path / "list.txt", str(files[0]), files[1].name, "gone.parquet")
+    got = R.read_listed(spark, listing, str(data), skip_bad=False)
+    assert got.count() == want
+    assert {f.rsplit("/", 1)[1] for f in got.inputFiles()} == {f.name for f in files[:2]}
+    listing = write(tmp_path / "odd.txt", odd.name)
+    assert R.read_listed(spark, listing, str(data), skip_bad=False).count() > 0
+    # the ways for many files and for names like patterns give the same rows
+    assert R.read_listed(spark, write(tmp_path / "two.txt", files[0].name, odd.name), str(data), limit=1).count() > 0
+    marked = data / "part[1].parquet"
+    marked.write_bytes(files[0].read_bytes())
+    listing = write(tmp_path / "marked.txt", marked.name)
+    one = spark.read.schema(schemas.SONGS).parquet(str(files[0])).count()
+    assert R.read_listed(spark, listing, str(data)).count() == one
+    assert R.read_listed(spark, write(tmp_path / "none.txt", "gone"), str(data)).count() == 0
+
+
 def test_attribute_selection(spark):
     df = spark.createDataFrame([(1, "x")], "Tempo INT, Title STRING")
     assert catalog.select_attrs(df, "title, TEMPO").columns == ["Title", "Tempo"]
