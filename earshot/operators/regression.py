@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.functions.columns import dot
-from earshot.session import ship_with_jobs
+from earshot.session import ship_with_jobs, stage
 
 ship_with_jobs(__name__)
 
 RANK_TOLERANCE = 1e-10
+# rows of a listener that one task sums up alone
+WHOLE_ROWS = 1 << 20
 
 
 def labelled(
@@ -37,25 +39,40 @@ def labelled(
     return rows.dropna(subset=["label", *columns])
 
 
-def user_moments(rows: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
+def user_moments(
+    rows: DataFrame, features: Sequence[str], label: str = "label", whole_rows: int = WHOLE_ROWS
+) -> DataFrame:
     """``(user_id, n_rows, means, label_mean, covariance, label_covariance, varies)`` per listener.
 
     ``covariance`` is the flattened symmetric matrix of the features, and
     ``label_variance`` the label's own. Spark
     merges centred second moments of parts stably, so a listener far from all
-    others keeps its digits, and reduces them in each task before the shuffle,
-    so one with very many rows is no burden.
+    others keeps its digits. The moments of a listener are hundreds of numbers,
+    many times a row: rows are dealt by listener first, so that none of them are
+    shuffled. Only listeners with more than ``whole_rows`` rows are reduced in
+    each task before the shuffle, so one with very many rows is no burden.
     """
     d = len(features)
     names = [*features, label]
     complete = rows.dropna(subset=names).select("user_id", *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)])
     pairs = [(i, j) for i in range(d + 1) for j in range(i, d + 1)]
-    moments = complete.groupBy("user_id").agg(
-        F.count("*").alias("n_rows"),
-        *[F.avg(f"x{i}").alias(f"s{i}") for i in range(d + 1)],
-        *[(F.var_pop(f"x{i}") if i == j else F.covar_pop(f"x{i}", f"x{j}")).alias(f"p{i}_{j}") for i, j in pairs],
-        F.array(*[F.max(f"x{i}") > F.min(f"x{i}") for i in range(d)]).alias("varies"),
+
+    def summed(part: DataFrame) -> DataFrame:
+        return part.groupBy("user_id").agg(
+            F.count("*").alias("n_rows"),
+            *[F.avg(f"x{i}").alias(f"s{i}") for i in range(d + 1)],
+            *[(F.var_pop(f"x{i}") if i == j else F.covar_pop(f"x{i}", f"x{j}")).alias(f"p{i}_{j}") for i, j in pairs],
+            F.array(*[F.max(f"x{i}") > F.min(f"x{i}") for i in range(d)]).alias("varies"),
+        )
+
+    long = stage(
+        rows.groupBy("user_id").agg(F.count("*").alias("n")).where(F.col("n") > whole_rows).select("user_id"), "long-listeners"
     )
+    if long.isEmpty():
+        moments = summed(complete.repartition("user_id"))
+    else:
+        short = complete.join(long, "user_id", "left_anti")
+        moments = summed(short.repartition("user_id")).union(summed(complete.join(long, "user_id", "left_semi")))
     return moments.select(
         "user_id", "n_rows", "varies", F.col(f"s{d}").alias("label_mean"),
         F.array(*[F.col(f"s{i}") for i in range(d)]).alias("means"),

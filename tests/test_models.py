@@ -237,3 +237,22 @@ def test_least_squares_far_from_all_others(spark, offset, n):
     df = spark.createDataFrame(rows, "user_id STRING, " + ", ".join(f"{f} DOUBLE" for f in names) + ", label DOUBLE")
     for model in G.fit_ols(df.repartition(4), names).collect():
         assert np.allclose(model.weights, want[model.user_id], atol=1e-6 if offset < 1e7 else 1e-5)
+
+
+def test_moments_are_not_shuffled(spark):
+    """Rows are dealt by listener; only long listeners are reduced before the shuffle. Both give the same."""
+    rows = spark.createDataFrame(random_rows(5, {"many": 60, "three": 3, "one": 1}), SCHEMA)
+
+    def shuffled_partials(moments):
+        plan = moments._jdf.queryExecution().executedPlan().toString().splitlines()
+        lines = [line.lstrip(" :+-") for line in plan]
+        return sum(above.startswith("Exchange") and "partial_" in below for above, below in zip(lines, lines[1:]))
+
+    whole, split = G.user_moments(rows, NAMES), G.user_moments(rows, NAMES, whole_rows=10)
+    assert shuffled_partials(whole) == 0 and shuffled_partials(split) == 1
+    wanted = {r.user_id: r for r in whole.collect()}
+    got = {r.user_id: r for r in split.collect()}
+    assert got.keys() == wanted.keys() and {u: r.n_rows for u, r in got.items()} == {"many": 60, "three": 3, "one": 1}
+    for user, r in got.items():
+        assert r.covariance == pytest.approx(wanted[user].covariance, rel=1e-9, abs=1e-9)
+        assert r.varies == wanted[user].varies and r.means == pytest.approx(wanted[user].means)
