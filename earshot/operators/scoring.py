@@ -2,13 +2,15 @@
 
 Scoring every song for every listener is a matrix product. It is computed by
 blocks: models and songs are split by hash into blocks of bounded size, each
-pair of blocks is one product worked off in chunks, and for ranked lists each
-pair hands on only its best songs per listener.
+pair of blocks is one product worked off in chunks. For ranked lists songs are
+laid out by their features in leaves of a tree instead. A listener's weights
+bound the scores of a leaf from both sides, so only leaves that may hold one of
+the best songs are scored, and only blocks that hold such a leaf are visited.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,12 @@ SCORE_DIGITS = 9
 CHUNK_SCORES = 1 << 20
 # heard rows that one cell takes on average, at most
 HEARD_ROWS = 1 << 21
+# songs of a leaf, as long as there are no more leaves than LEAVES; songs the tree is fitted on
+LEAF_SONGS = 128
+LEAVES = 4096
+TREE_SONGS = 1 << 16
+# listeners whose leaves are worked off together
+LISTENERS = 1024
 
 
 def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
@@ -95,31 +103,141 @@ def _best(ranked: np.ndarray, n: int) -> np.ndarray:
     return mask
 
 
+def _tree(points: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Column and cut of the inner nodes of a complete tree, split at medians of the widest column."""
+    columns, cuts = np.zeros(2**depth - 1, dtype=np.int64), np.zeros(2**depth - 1)
+    points = points[np.isfinite(points).all(axis=1)]
+    spread = np.ptp(points, axis=0) if len(points) else np.ones(points.shape[1])
+    scaled = points / np.where(spread > 0, spread, 1.0)
+    parts = [np.arange(len(points))]
+    for node in range(len(cuts)):
+        rows = parts[node]
+        if len(rows):
+            columns[node] = np.argmax(np.ptp(scaled[rows], axis=0))
+            own = points[rows, columns[node]]
+            # the greatest value stays above the cut, so that no side is empty if the values differ
+            cuts[node] = min(np.median(own), np.max(own[own < own.max()], initial=own.min()))
+        right = points[rows, columns[node]] > cuts[node]
+        parts += [rows[~right], rows[right]]
+    return columns, cuts
+
+
+def _leaf_of(values: np.ndarray, columns: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    node = np.zeros(len(values), dtype=np.int64)
+    rows = np.arange(len(values))
+    for _ in range((len(cuts) + 1).bit_length() - 1):
+        node = 2 * node + 1 + (values[rows, columns[node]] > cuts[node])
+    return node - len(cuts)
+
+
+def _bounds(weights: np.ndarray, intercepts: np.ndarray, low: np.ndarray, high: np.ndarray):
+    """Least and greatest scores [listeners, leaves], and what rounding may add to a score."""
+    up, down = np.maximum(weights, 0.0), np.minimum(weights, 0.0)
+    with np.errstate(invalid="ignore", over="ignore"):
+        least = up @ low.T + down @ high.T + intercepts[:, None]
+        greatest = up @ high.T + down @ low.T + intercepts[:, None]
+        size = np.abs(weights) @ np.maximum(np.abs(low), np.abs(high)).max(axis=0) + np.abs(intercepts)
+    # values that are not finite bound nothing
+    least[np.isnan(least)], greatest[np.isnan(greatest)] = -np.inf, np.inf
+    return least, greatest, 10.0 ** -SCORE_DIGITS + 1e-11 * np.nan_to_num(size, nan=0.0, posinf=0.0)
+
+
+def _floor(least: np.ndarray, counts: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """A score that at least ``need`` songs of each listener reach; minus infinity if there are fewer songs."""
+    floor = np.where(counts >= need[:, None], least, -np.inf).max(axis=1)
+    rest = np.flatnonzero(floor == -np.inf)
+    if len(rest):
+        order = np.argsort(-least[rest], axis=1)
+        enough = np.cumsum(counts[order], axis=1) >= need[rest, None]
+        last = np.take_along_axis(order, enough.argmax(axis=1)[:, None], axis=1)[:, 0]
+        floor[rest] = np.where(enough[:, -1], least[rest, last], -np.inf)
+    return floor
+
+
+def _visits(low: np.ndarray, high: np.ndarray, counts: np.ndarray, leaf_blocks: np.ndarray, n: int):
+    """Task function that sends each model to the blocks whose songs may be among its ``n`` best unheard ones."""
+    starts = np.flatnonzero(np.diff(leaf_blocks, prepend=-1))
+
+    def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, LISTENERS):
+                models = batch.slice(start, LISTENERS)
+                weights = _matrix(pa.chunked_array([models["weights"]]), models.num_rows)
+                least, greatest, slack = _bounds(weights, models["intercept"].to_numpy(zero_copy_only=False), low, high)
+                floor = _floor(least, counts, n + models["heard"].to_numpy()) - slack
+                near = np.logical_or.reduceat(greatest + slack[:, None] >= floor[:, None], starts, axis=1)
+                rows, blocks = np.nonzero(near)
+                sent = models.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(leaf_blocks[starts][blocks], pa.int32()), sent["user_id"], sent["weights"], sent["intercept"],
+                     pa.array(floor[rows])], names=["block", "user_id", "weights", "intercept", "floor"],
+                )
+
+    return visits
+
+
 def _best_scores(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The ``n`` best unheard songs of a cell for each listener, leaf by leaf."""
+
     def best(left: pa.Table, right: pa.Table) -> pa.Table:
         models, heard, songs = _cell(left, right)
         if not models.num_rows or not songs.num_rows:
             return _empty(left, right, "score", "ranked")
+        # songs keep their id order inside a leaf; ids settle ties
+        songs = songs.append_column("at", pa.array(np.arange(songs.num_rows)))
+        songs = songs.sort_by([("leaf", "ascending"), ("at", "ascending")])
+        at = songs["at"].to_numpy()
+        values = _matrix(songs["values"], songs.num_rows)
+        starts = np.flatnonzero(np.diff(songs["leaf"].to_numpy(), prepend=-1))
+        ends = np.append(starts[1:], songs.num_rows)
+        low, high = np.minimum.reduceat(values, starts), np.maximum.reduceat(values, starts)
         user = pc.index_in(heard["user_id"], models["user_id"].combine_chunks())
         song = pc.index_in(heard["song_id"], songs["song_id"].combine_chunks())
         known = pc.and_(pc.is_valid(user), pc.is_valid(song))
         user, song = user.filter(known).to_numpy(), song.filter(known).to_numpy()
-        order = np.argsort(user, kind="stable")
+        order = np.lexsort((song, user // LISTENERS))
         user, song = user[order], song[order]
+        weights, intercepts = _matrix(models["weights"], models.num_rows), models["intercept"].to_numpy()
+        floors = models["floor"].to_numpy()
         found = []
-        for start, scores in _score_chunks(models, songs):
-            ranked = np.round(scores, SCORE_DIGITS)
-            here = slice(*np.searchsorted(user, [start, start + len(scores)]))
-            ranked[user[here] - start, song[here]] = -np.inf
-            rows, columns = np.nonzero(_best(ranked, n))
-            found.append((rows + start, columns, scores[rows, columns], ranked[rows, columns]))
-        return _result(models, songs, found, "score", "ranked")
+        for start in range(0, models.num_rows, LISTENERS):
+            chunk = slice(start, start + LISTENERS)
+            own, constant, floor = weights[chunk], intercepts[chunk], floors[chunk].copy()
+            _, greatest, slack = _bounds(own, constant, low, high)
+            greatest += slack[:, None]
+            here = slice(*np.searchsorted(user // LISTENERS, [start // LISTENERS, start // LISTENERS + 1]))
+            heard_user, heard_song = user[here] - start, song[here]
+            kept = []
+            for leaf in np.argsort(-np.nan_to_num(greatest).mean(axis=0), kind="stable"):
+                rows = np.flatnonzero(greatest[:, leaf] >= floor)
+                if not len(rows):
+                    continue
+                first, end = starts[leaf], ends[leaf]
+                scores = own[rows] @ values[first:end].T + constant[rows, None]
+                ranked = np.round(scores, SCORE_DIGITS)
+                place = np.full(len(own), -1)
+                place[rows] = np.arange(len(rows))
+                gone = slice(*np.searchsorted(heard_song, [first, end]))
+                asked = place[heard_user[gone]] >= 0
+                ranked[place[heard_user[gone][asked]], heard_song[gone][asked] - first] = -np.inf
+                r, c = np.nonzero(_best(ranked, n) & (ranked >= floor[rows, None]))
+                kept.append((rows[r], first + c, scores[r, c], ranked[r, c]))
+                if end - first >= n:
+                    # a later song must reach the n-th best so far
+                    floor[rows] = np.fmax(floor[rows], -np.partition(-ranked, n - 1, axis=1)[:, n - 1])
+            if kept:
+                rows, columns, scores, ranked = (np.concatenate(parts) for parts in zip(*kept))
+                order = np.lexsort((at[columns], -ranked, rows))
+                sizes = np.bincount(rows, minlength=1)
+                order = order[np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes) < n]
+                found.append((rows[order] + start, columns[order], scores[order], ranked[order]))
+        return _result(models, songs, found, "score", "ranked") if found else _empty(left, right, "score", "ranked")
 
     return best
 
 
 def _score_cells(
-    models: DataFrame, songs: DataFrame, features: Sequence[str], heard: DataFrame | None,
+    models: DataFrame, songs: DataFrame, features: Sequence[str],
     function: Callable[[pa.Table, pa.Table], pa.Table], users_per_block: int, songs_per_block: int,
     schema: T.StructType | None = None,
 ) -> DataFrame:
@@ -129,9 +247,6 @@ def _score_cells(
     spread = 2 * models.sparkSession.sparkContext.defaultParallelism
     user_blocks = max(n_users // users_per_block + 1, min(spread, n_users // 256 + 1))
     song_blocks = songs.count() // songs_per_block + 1
-    if heard is not None:
-        heard = stage(heard, "heard-songs")
-        user_blocks = max(user_blocks, heard.count() // (HEARD_ROWS * song_blocks) + 1)
 
     def block(column: str, count: int):
         return F.pmod(F.xxhash64(column), F.lit(count)).cast("int")
@@ -145,13 +260,6 @@ def _score_cells(
         user_block, every(song_blocks).alias("song_block"), "user_id",
         F.lit(None).cast(song_type).alias("song_id"), "weights", "intercept",
     )
-    if heard is not None:
-        # a heard song goes to the one cell of its listener and song
-        left = left.unionByName(heard.select(
-            user_block, block("song_id", song_blocks).alias("song_block"), "user_id",
-            F.col("song_id").cast(song_type).alias("song_id"),
-            F.lit(None).cast("array<double>").alias("weights"), F.lit(None).cast("double").alias("intercept"),
-        ))
     right = songs.dropna(subset=list(features)).select(
         every(user_blocks).alias("user_block"), block("song_id", song_blocks).alias("song_block"), "song_id",
         F.array(*[F.col(c).cast("double") for c in features]).alias("values"),
@@ -169,7 +277,7 @@ def score_all(
     users_per_block: int = 512, songs_per_block: int = 1024,
 ) -> DataFrame:
     """``(user_id, song_id, score)`` of every song with complete features for every model."""
-    return _score_cells(models, songs, features, None, _all_scores, users_per_block, songs_per_block)
+    return _score_cells(models, songs, features, _all_scores, users_per_block, songs_per_block)
 
 
 def _totals(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -195,7 +303,7 @@ def song_scores(
         songs.schema["song_id"], T.StructField("users", T.LongType()), T.StructField("total", T.DoubleType()),
         T.StructField("best_score", T.DoubleType()),
     ])
-    cells = _score_cells(models, songs, features, None, _totals, users_per_block, songs_per_block, schema)
+    cells = _score_cells(models, songs, features, _totals, users_per_block, songs_per_block, schema)
     return cells.groupBy("song_id").agg(
         F.sum("users").alias("users"), (F.sum("total") / F.sum("users")).alias("mean_score"),
         F.max("best_score").alias("best_score"),
@@ -209,13 +317,71 @@ def recommend_top_n(
     """The ``n`` best unheard songs of each listener as ``place`` 1…n, ties by song id.
 
     Scores are rounded for ranking once, where they are computed: cells and the
-    last ranking compare the same values.
+    last ranking compare the same values. A tree fitted on a bounded sample of
+    the songs lays them out; which leaves a listener needs follows from exact
+    bounds over all songs of each leaf, so the tree decides the time but not
+    the result. Listeners whose weights are all zero tie on every song and
+    still visit all leaves.
     """
-    heard = plays.select("user_id", "song_id").distinct()
+    heard = stage(plays.select("user_id", "song_id").distinct(), "heard-songs")
+    user_type, song_type = models.schema["user_id"], songs.schema["song_id"]
     schema = T.StructType([
-        models.schema["user_id"], songs.schema["song_id"], T.StructField("score", T.DoubleType()),
-        T.StructField("ranked", T.DoubleType()),
+        user_type, song_type, T.StructField("score", T.DoubleType()), T.StructField("ranked", T.DoubleType()),
     ])
-    scores = _score_cells(models, songs, features, heard, _best_scores(n), users_per_block, songs_per_block, schema)
+    values = F.array(*[F.col(c).cast("double") for c in features]).alias("values")
+    songs = stage(songs.dropna(subset=list(features)).select("song_id", values), "scored-songs")
+    n_songs = songs.count()
+    block_depth = max(0, (n_songs - 1) // songs_per_block).bit_length()
+    depth = max(block_depth, min(LEAVES.bit_length() - 1, (n_songs // LEAF_SONGS).bit_length()))
+    sample = songs.orderBy(F.xxhash64("song_id", "values")).limit(TREE_SONGS).select("values").collect()
+    columns, cuts = _tree(np.array([r.values for r in sample], dtype=float).reshape(len(sample), len(features)), depth)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaf = _leaf_of(_matrix(pa.chunked_array([batch["values"]]), batch.num_rows), columns, cuts)
+            yield batch.append_column("leaf", pa.array(leaf, pa.int32()))
+
+    laid = songs.mapInArrow(placed, T.StructType([*songs.schema, T.StructField("leaf", T.IntegerType())]))
+    laid = stage(laid.withColumn("block", F.shiftright("leaf", depth - block_depth)), "song-leaves")
+    ends = [f(F.col("values")[i]) for f in (F.min, F.max) for i in range(len(features))]
+    leaves = sorted(map(tuple, laid.groupBy("leaf", "block").agg(F.count("*"), *ends).collect()))
+    if not leaves:
+        leaves = [(0, 0, 0, *[0.0] * (2 * len(features)))]
+    numbers = np.array(leaves, dtype=float)
+    counts, leaf_blocks = numbers[:, 2].astype(np.int64), numbers[:, 1].astype(np.int64)
+    low, high = numbers[:, 3:3 + len(features)], numbers[:, 3 + len(features):]
+
+    listeners = heard.groupBy(F.col("user_id").alias("heard_by")).agg(F.count("*").alias("heard"))
+    known = models.select("user_id", "weights", "intercept").join(
+        listeners, F.col("user_id").eqNullSafe(F.col("heard_by")), "left"
+    ).select("user_id", "weights", "intercept", F.coalesce("heard", F.lit(0).cast("bigint")).alias("heard"))
+    sent = stage(known.mapInArrow(_visits(low, high, counts, leaf_blocks, n), T.StructType([
+        T.StructField("block", T.IntegerType()), user_type, T.StructField("weights", T.ArrayType(T.DoubleType())),
+        T.StructField("intercept", T.DoubleType()), T.StructField("floor", T.DoubleType()),
+    ])), "sent-models")
+    # a block of songs too alike to be told apart by the tree is cut by hash
+    in_block = np.bincount(leaf_blocks, counts, minlength=2**block_depth).astype(int)
+    slots = F.get(F.lit([int(c) // songs_per_block // 2 + 1 for c in in_block]), F.col("block"))
+    slot = F.pmod(F.xxhash64("song_id"), slots).cast("int").alias("slot")
+    laid = laid.select("*", slot)
+    homes = laid.select(F.col("song_id").alias("home_of"), "block", "slot").distinct()
+    met = stage(heard.join(homes, F.col("song_id").eqNullSafe(F.col("home_of"))).select(
+        "block", "slot", "user_id", F.col("song_id").cast(song_type.dataType).alias("song_id")
+    ), "heard-cells")
+    spread = 2 * models.sparkSession.sparkContext.defaultParallelism // 2**block_depth + 1
+    parts = [1] * 2**block_depth
+    for r in sent.groupBy("block").count().collect():
+        parts[r["block"]] = max(r["count"] // users_per_block + 1, min(spread, r["count"] // 256 + 1))
+    for r in met.groupBy("block").count().collect():
+        parts[r["block"]] = max(parts[r["block"]], r["count"] // HEARD_ROWS + 1)
+    split = F.get(F.lit(parts), F.col("block"))
+    part = F.pmod(F.xxhash64("user_id"), split).cast("int").alias("part")
+    left = sent.select(
+        "block", F.explode(F.sequence(F.lit(0), slots - 1)).alias("slot"), part, "user_id",
+        F.lit(None).cast(song_type.dataType).alias("song_id"), "weights", "intercept", "floor",
+    ).unionByName(met.select("block", "slot", part, "user_id", "song_id"), allowMissingColumns=True)
+    right = laid.select("block", "slot", F.explode(F.sequence(F.lit(0), split - 1)).alias("part"), "song_id", "leaf", "values")
+    cell = ["block", "slot", "part"]
+    scores = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(_best_scores(n), schema)
     by_score = W.partitionBy("user_id").orderBy(F.desc("ranked"), "song_id")
     return scores.select("user_id", "song_id", "score", F.row_number().over(by_score).alias("place")).where(F.col("place") <= n)

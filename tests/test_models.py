@@ -256,3 +256,26 @@ def test_moments_are_not_shuffled(spark):
     for user, r in got.items():
         assert r.covariance == pytest.approx(wanted[user].covariance, rel=1e-9, abs=1e-9)
         assert r.varies == wanted[user].varies and r.means == pytest.approx(wanted[user].means)
+
+
+def test_few_leaves_are_scored_for_the_best_songs(spark, monkeypatch, tmp_path):
+    """Ties, copies and heard songs as by brute force, while most blocks are never visited."""
+    rng = np.random.default_rng(3)
+    songs = [(i, float(rng.integers(0, 40)), float(np.round(rng.random(), 2))) for i in range(4000)]
+    models = [(u, [float(np.cos(u)), float(30 * np.sin(u))] if u % 20 else [0.0, 0.0], float(u)) for u in range(60)]
+    heard = [(u, int(i)) for u in range(60) for i in rng.integers(0, 4000, 30)] + [(1, i) for i in range(3995)]
+    m = spark.createDataFrame(models, "user_id INT, weights ARRAY<DOUBLE>, intercept DOUBLE")
+    s = spark.createDataFrame(songs, "song_id INT, a DOUBLE, b DOUBLE")
+    p = spark.createDataFrame(heard, "user_id INT, song_id INT")
+    staged = {}
+    real = S.stage
+    monkeypatch.setattr(S, "stage", lambda df, tag: staged.setdefault(tag, real(df, tag)))
+    best = S.recommend_top_n(m, s, ["a", "b"], p, 5, users_per_block=8, songs_per_block=128).collect()
+    got, skip = {}, set(heard)
+    for r in sorted(best, key=lambda r: (r.user_id, r.place)):
+        got.setdefault(r.user_id, []).append(r.song_id)
+    for u, w, c in models:
+        scores = [(-round(w[0] * a + w[1] * b + c, 9), i) for i, a, b in songs if (u, i) not in skip]
+        assert got[u] == [i for _, i in sorted(scores)[:5]]
+    visited = staged["sent-models"].where("user_id % 20 > 1").count()
+    assert visited < 54 * 32 / 3
