@@ -1,3 +1,4 @@
+import re
 import itertools
 import math
 import random
@@ -295,3 +296,18 @@ def test_most_pairs_of_all_songs_are_never_formed(spark):
     assert formed < together / 4
     found = {(r.rated_song_id, r.song_id) for r in S.similar_pairs(ratings, 0.9).collect()}
     assert found == {p for p, s in brute_cosines(rows).items() if p[0] < p[1] and round(s, 12) >= 0.9}
+
+
+def test_ratings_are_copied_to_few_blocks(spark):
+    """Blocks of songs follow the similarities there are, not the number of songs."""
+    rows = [(u, s, float((u * s) % 5 + 1)) for u in range(40) for s in ((25 * u + j) % 1000 for j in range(100))]
+    ratings = spark.createDataFrame(rows, "user_id int, song_id int, rating double").cache()
+    users = ratings.select("user_id").distinct()
+    mine = S.stage(ratings, "mine")
+    sims = S.item_similarity(ratings, mine, exclude_rated=False)
+    found = S.predict_from_ratings(ratings, users=users, min_neighbours=0)
+    plan = found._jdf.queryExecution().logical().toString()
+    blocks = max(int(n) for n in re.findall(r"sequence\(0, (\d+)", plan))
+    assert blocks < 2
+    cut = S.predict_from_ratings(ratings, users=users, min_neighbours=0, sims_per_cell=1 + sims.count() // 3)
+    assert sorted(map(tuple, cut.collect())) == pytest.approx(sorted(map(tuple, found.collect()))) and found.count() > 0
