@@ -1,8 +1,9 @@
-import re
 import itertools
 import math
 import random
+import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -310,4 +311,17 @@ def test_ratings_are_copied_to_few_blocks(spark):
     blocks = max(int(n) for n in re.findall(r"sequence\(0, (\d+)", plan))
     assert blocks < 2
     cut = S.predict_from_ratings(ratings, users=users, min_neighbours=0, sims_per_cell=1 + sims.count() // 3)
-    assert sorted(map(tuple, cut.collect())) == pytest.approx(sorted(map(tuple, found.collect()))) and found.count() > 0
+    scores, again = ({(r.user_id, r.song_id): r.score for r in df.collect()} for df in (found, cut))
+    assert again == pytest.approx(scores) and scores
+
+
+def test_a_missing_rating_leaves_no_score_where_places_are_free():
+    """The rating counts among the k places, by order of the songs; k neighbours keep it out."""
+    left = pa.table({
+        "user_id": ["u"] * 4, "rated_song_id": [1, 2, 3, 4], "rating": [float("nan"), 4.0, 2.0, 5.0],
+        "part": pa.array([0] * 4, pa.int32()), "parts": pa.array([1] * 4, pa.int32()),
+    })
+    right = pa.table({"rated_song_id": [2, 3, 4, 2, 3, 1], "song_id": [8, 8, 8, 9, 9, 7], "sim": [0.5, 0.5, 0.1, 0.5, 0.5, 0.5]})
+    for k, free in [(2, {7}), (3, {7, 9}), (4, {7, 8, 9})]:
+        out = S._predict_cell(k, 0)(left, right).to_pylist()
+        assert {r["song_id"] for r in out} == {7, 8, 9} and {r["song_id"] for r in out if math.isnan(r["score"])} == free
