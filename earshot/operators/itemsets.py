@@ -17,7 +17,7 @@ from earshot.functions.columns import canonical
 from earshot.operators.ordering import number_rows
 from earshot.operators.ratings import qualified_plays
 from earshot.operators.support import BLOCK_ITEMS, pair_supports, set_supports
-from earshot.session import stage
+from earshot.session import dealt, stage
 
 # items of one array of a basket
 BASKET_LIMIT = 100_000
@@ -50,6 +50,12 @@ def to_baskets(rows: DataFrame, limit: int = BASKET_LIMIT) -> DataFrame:
     )
 
 
+def basket_count(rows: DataFrame) -> int:
+    """Number of distinct baskets."""
+    ids = rows.select("basket_id")
+    return dealt(ids, ids.count(), "basket_id").distinct().count()
+
+
 def prune_baskets(rows: DataFrame, frequent: DataFrame) -> DataFrame:
     """Basket rows without the items that are not in ``frequent``."""
     return rows.join(frequent.select("item").distinct(), "item", "left_semi").select("basket_id", "item")
@@ -109,7 +115,8 @@ def frequent_itemsets(
     Pairs are counted as matrices of ``block_items`` times ``block_items``
     items, larger sets as bitmaps; the same plan at every basket size.
     """
-    rows = stage(rows.select("basket_id", "item").distinct(), "baskets")
+    pairs = rows.select("basket_id", "item")
+    rows = stage(dealt(pairs, pairs.count(), "basket_id", "item").distinct(), "baskets")
     singles = stage(
         rows.groupBy(F.col("item").alias("i1")).agg(F.count("*").alias("support"))
         .where(F.col("support") >= min_support),

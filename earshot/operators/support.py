@@ -2,7 +2,9 @@
 
 Rows are ``(basket_id, code)`` with items numbered 0, 1, …. Pairs are counted in
 cells of two blocks of items: a cell adds up a matrix of counts over its
-baskets, and only whole rows of matrices leave it. Larger sets are counted from
+baskets, and only whole rows of matrices leave it. Where a basket has few items
+in a cell, an item goes with the later ones of its basket to the task that
+counts all its pairs. Larger sets are counted from
 bitmaps, one per item over the baskets of a part: the support of a set is the
 number of bits left when its items' bitmaps are joined by AND.
 """
@@ -17,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.session import ship_with_jobs, stage
+from earshot.session import dealt, ship_with_jobs, stage
 
 # items of a block; a cell's matrix has the square of it
 BLOCK_ITEMS = 2048
@@ -30,6 +32,11 @@ CANDIDATES = 100_000
 # blocks of a basket that one task pairs with the others
 PART_BLOCKS = 64
 BITMAP_BYTES = 32 << 20
+# pairs that one task counts by sorting, of baskets with so many items at most
+PAIRS = 1 << 22
+SMALL_BASKET = 256
+# cells with fewer pairs than this on average cost more than the pairs
+PAIRS_OF_CELL = 64
 
 
 def bit_rows(rows: np.ndarray, places: np.ndarray, n_rows: int, n_places: int) -> np.ndarray:
@@ -129,11 +136,90 @@ def _basket_numbers(column: pa.ChunkedArray) -> np.ndarray:
     return coded.indices.to_numpy().astype(np.int64)
 
 
+def _later_pairs(baskets: DataFrame, n_items: int, min_support: int, most: int) -> DataFrame:
+    """Pairs in at least ``min_support`` of the baskets, given as sorted arrays ``items``.
+
+    Each item goes with the later ones of its basket to the task of its group,
+    which counts their pairs by sorting them. An item with more than ``most``
+    pairs is dealt to several tasks by basket, whose counts are added.
+    """
+    placed = baskets.select("basket_id", "items", F.posexplode("items").alias("pos", "i1")).withColumn(
+        "later", F.size("items") - F.col("pos") - 1
+    ).where("later > 0")
+    pairs = stage(placed.groupBy("i1").agg(F.sum("later").alias("pairs")), "pairs-of-items")
+    total = pairs.agg(F.sum("pairs")).first()[0] or 0
+    hot = stage(pairs.where(F.col("pairs") > most).select("i1", F.ceil(F.col("pairs") / most).cast("int").alias("splits")), "hot-items")
+    groups = total // most + 1
+    tasks = groups + (hot.agg(F.sum("splits")).first()[0] or 0)
+    sent = placed.join(hot, "i1", "left").select(
+        F.pmod(F.xxhash64("i1"), F.lit(groups)).cast("int").alias("group"),
+        F.pmod(F.xxhash64("basket_id"), F.coalesce("splits", F.lit(1))).cast("int").alias("split"),
+        F.col("splits").isNull().alias("whole"), "i1", F.slice("items", F.col("pos") + 2, F.col("later")).alias("others"),
+    ).repartition(tasks, "group", "split")
+
+    def count(table: pa.Table) -> pa.Table:
+        others, n = _flat(table.column("others"))
+        i1, whole = table.column("i1").to_numpy().astype(np.int64), table.column("whole").to_numpy()
+        keys = np.repeat(i1, n) * n_items + others
+        keys.sort()
+        firsts = np.flatnonzero(np.diff(keys, prepend=-1))
+        counts, keys = np.diff(np.append(firsts, len(keys))), keys[firsts]
+        known = np.isin(keys // n_items, i1[whole])
+        often = (counts >= min_support) | ~known
+        keys, counts, known = keys[often], counts[often], known[often]
+        return pa.table({
+            "i1": pa.array((keys // n_items).astype(np.int32)), "i2": pa.array((keys % n_items).astype(np.int32)),
+            "support": pa.array(counts.astype(np.int64)), "whole": pa.array(known),
+        })
+
+    found = sent.groupBy("group", "split").applyInArrow(count, "i1 int, i2 int, support bigint, whole boolean")
+    if hot.isEmpty():
+        return found.select("i1", "i2", "support")
+    found = stage(found, "pair-counts")
+    added = found.where("NOT whole").groupBy("i1", "i2").agg(F.sum("support").alias("support"))
+    return found.where("whole").select("i1", "i2", "support").union(added.where(F.col("support") >= min_support))
+
+
 def pair_supports(
-    coded: DataFrame, n_items: int, min_support: int, block_items: int = BLOCK_ITEMS, entries: int = ENTRIES
+    coded: DataFrame, n_items: int, min_support: int, block_items: int = BLOCK_ITEMS, entries: int = ENTRIES,
+    pairs_of_cell: int = PAIRS_OF_CELL, small_basket: int = SMALL_BASKET, pairs_at_once: int = PAIRS,
 ) -> DataFrame:
     """``i1 < i2`` and ``support`` of all pairs in at least ``min_support`` baskets.
 
+    Baskets are cut into cells of blocks of items. Where these hold fewer than
+    ``pairs_of_cell`` pairs on average, as with many items and small baskets,
+    only baskets with more than ``small_basket`` items go by cells.
+    """
+    width = min(block_items, max(n_items, 1))
+    if n_items <= width:
+        return _pairs_in_cells(coded, n_items, min_support, block_items, entries)
+    block = F.floor(F.col("code") / width).cast("int")
+    by_basket = dealt(coded, coded.count(), "basket_id").groupBy("basket_id")
+    sizes = stage(by_basket.agg(F.count("*").alias("n"), F.size(F.collect_set(block)).alias("blocks")), "basket-sizes")
+    pairs, cells, largest = sizes.agg(
+        F.sum(F.expr("n * (n - 1) / 2")), F.sum(F.expr("blocks * (blocks + 1) / 2")), F.max("n")
+    ).first()
+    if (pairs or 0) >= pairs_of_cell * (cells or 0):
+        return _pairs_in_cells(coded, n_items, min_support, block_items, entries)
+    small = coded
+    if largest > small_basket:
+        large = stage(sizes.where(F.col("n") > small_basket).select("basket_id"), "large-baskets")
+        small = coded.join(large, "basket_id", "left_anti")
+    arrays = dealt(small, coded.count(), "basket_id").groupBy("basket_id").agg(F.sort_array(F.collect_list("code")).alias("items"))
+    arrays = stage(arrays, "small-baskets")
+    if largest <= small_basket:
+        return _later_pairs(arrays, n_items, min_support, pairs_at_once)
+    every = _later_pairs(arrays, n_items, 1, pairs_at_once).union(
+        _pairs_in_cells(coded.join(large, "basket_id", "left_semi"), n_items, 1, block_items, entries)
+    )
+    return every.groupBy("i1", "i2").agg(F.sum("support").alias("support")).where(F.col("support") >= min_support)
+
+
+def _pairs_in_cells(
+    coded: DataFrame, n_items: int, min_support: int, block_items: int, entries: int
+) -> DataFrame:
+    """``pair_supports`` by cells of two blocks of items.
+
     Items of one block need no cells: rows are dealt by basket as they are. A
     cell with more than ``entries`` entries is dealt to several tasks by
     basket, and their matrices are added row by row. What leaves a task is
@@ -165,7 +251,7 @@ def pair_supports(
             return matrix_rows(count_cell(items, sizes, items, sizes, width), 0, 0, splits == 1)
 
         split = F.pmod(F.xxhash64("basket_id"), F.lit(splits)).cast("int")
-        groups = coded.select(split.alias("split"), "basket_id", "code").groupBy("split")
+        groups = coded.select(split.alias("split"), "basket_id", "code").repartition(splits, "split").groupBy("split")
     else:
         item = F.col("code")
         blocks = stage(
@@ -177,14 +263,14 @@ def pair_supports(
         held = F.sum(F.size("left") + F.size("right")) / (2 * most)
         sizes = stage(cells.groupBy("lo", "hi").agg(F.ceil(held).cast("int").alias("splits")), "cell-sizes")
         split = F.pmod(F.xxhash64("basket_id"), F.col("splits")).cast("int")
-        dealt = cells.join(sizes, ["lo", "hi"]).select("lo", "hi", split.alias("split"), "splits", "left", "right")
+        split_cells = cells.join(sizes, ["lo", "hi"]).select("lo", "hi", split.alias("split"), "splits", "left", "right")
 
         def count(table: pa.Table) -> pa.Table:
             lo, hi, splits = (table.column(c)[0].as_py() for c in ("lo", "hi", "splits"))
             counts = count_cell(*_flat(table.column("left")), *_flat(table.column("right")), width)
             return matrix_rows(counts, lo, hi, splits == 1)
 
-        groups = dealt.groupBy("lo", "hi", "split")
+        groups = split_cells.groupBy("lo", "hi", "split")
 
     def add(table: pa.Table) -> pa.Table:
         i1, hi = table.column("i1")[0].as_py(), table.column("hi")[0].as_py()
@@ -220,7 +306,8 @@ def set_supports(
     chunks = max(1, math.ceil(candidates.count() / at_once))
     split = F.pmod(F.xxhash64("basket_id"), F.col("splits")).cast("int")
     if chunks == 1:
-        splits = F.lit(max(1, math.ceil(coded.count() / entries))).cast("int")
+        cells = max(1, math.ceil(coded.count() / entries))
+        splits = F.lit(cells).cast("int")
         left = coded.select(F.lit(0).alias("chunk"), splits.alias("splits"), "basket_id", "code")
         right = candidates.select(F.lit(0).alias("chunk"), splits.alias("splits"), *names)
     else:
@@ -231,6 +318,7 @@ def set_supports(
         sizes = stage(
             rows.groupBy("chunk").agg(F.ceil(F.count("*") / entries).cast("int").alias("splits")), "chunk-sizes"
         )
+        cells = sizes.agg(F.sum("splits")).first()[0] or 1
         left, right = rows.join(sizes, "chunk"), sets.join(sizes, "chunk")
     left = left.select("chunk", split.alias("split"), "basket_id", "code")
     right = right.withColumn("split", F.explode(F.expr("sequence(0, splits - 1)")))
@@ -246,6 +334,8 @@ def set_supports(
         return pa.table({**{n: pa.array(c[often]) for n, c in columns.items()}, "n": pa.array(supports[often])})
 
     schema = ", ".join(f"{n} int" for n in names) + ", n bigint"
+    # a task takes few cells, whatever number of shuffle partitions the session has
+    left, right = (rows.repartition(cells, "chunk", "split") for rows in (left, right))
     counted = left.groupBy("chunk", "split").cogroup(right.groupBy("chunk", "split")).applyInArrow(count, schema)
     return counted.groupBy(*names).agg(F.sum("n").alias("support")).where(F.col("support") >= min_support)
 

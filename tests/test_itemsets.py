@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from earshot.operators import blend as B
 from earshot.operators import itemsets as I
 from earshot.operators import rules as U
+from earshot.operators.support import pair_supports
 
 SCHEMA = "basket_id INT, item STRING"
 
@@ -45,6 +46,28 @@ def test_itemsets_equal_brute_force_with_and_without_large_baskets(spark, part_i
     assert all(r.size == len(r.itemset) for r in found)
 
 
+@pytest.mark.parametrize("options", [
+    {}, {"pairs_at_once": 7}, {"small_basket": 5}, {"small_basket": 5, "pairs_at_once": 7}, {"pairs_of_cell": 0},
+])
+def test_pairs_of_small_baskets_equal_brute_force(spark, options):
+    """Pairs counted by sorting: with items of many pairs, and with baskets left to the cells."""
+    baskets = {b: sorted({int(i[1:]) for i in items} | {0}) for b, items in random_baskets(3).items()}
+    rows = spark.createDataFrame([(b, i) for b, items in baskets.items() for i in items], "basket_id int, code int")
+    got = {(r.i1, r.i2): r.support for r in pair_supports(rows, 9, 12, block_items=2, **options).collect()}
+    assert got == {s: n for s, n in brute_sets(baskets, 12, 2).items() if len(s) == 2}
+
+
+def test_small_baskets_make_no_cells(spark, monkeypatch):
+    """Forty of 6,000 items a basket touch forty blocks and hundreds of cells with a pair or two each."""
+    from earshot.operators import support
+
+    monkeypatch.setattr(support, "_cells", lambda blocks: pytest.fail("cells of single pairs"))
+    rng = random.Random(4)
+    rows = [(b, i) for b in range(50) for i in {0, 1, *rng.sample(range(6000), 40)}]
+    found = support.pair_supports(spark.createDataFrame(rows, "basket_id int, code int"), 6000, 30, block_items=100).collect()
+    assert [(r.i1, r.i2, r.support) for r in found] == [(0, 1, 50)]
+
+
 def test_many_large_baskets_equal_brute_force(spark):
     """Twenty baskets of hundreds of items, more of them than the support asks for."""
     rng = random.Random(9)
