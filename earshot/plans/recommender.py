@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.operators.blend import blend, evaluate
-from earshot.operators.itemsets import frequent_itemsets
+from earshot.operators.itemsets import basket_count, frequent_itemsets
 from earshot.operators.ratings import to_ratings
 from earshot.operators.rules import association_rules, filter_rules, rule_recommendations
 from earshot.operators.similarity import predict_from_ratings
@@ -18,7 +18,7 @@ def mine_rules(
 ) -> DataFrame:
     """Frequent itemsets of the baskets and the rules that pass both thresholds."""
     itemsets = frequent_itemsets(rows, min_support, 4)
-    n_baskets = rows.select("basket_id").distinct().count()
+    n_baskets = basket_count(rows)
     return filter_rules(association_rules(itemsets, max(n_baskets, 1)), min_confidence, min_interest)
 
 
