@@ -325,3 +325,18 @@ def test_a_missing_rating_leaves_no_score_where_places_are_free():
     for k, free in [(2, {7}), (3, {7, 9}), (4, {7, 8, 9})]:
         out = S._predict_cell(k, 0)(left, right).to_pylist()
         assert {r["song_id"] for r in out} == {7, 8, 9} and {r["song_id"] for r in out if math.isnan(r["score"])} == free
+
+
+def test_pairs_with_a_weak_common_listener_are_not_compared(spark):
+    """Most pairs share one or two of their thirty listeners and cannot reach the threshold by them."""
+    rng = random.Random(11)
+    rows = [(f"u{u}", f"s{s:03d}", float(rng.randint(1, 9))) for s in range(120) for u in rng.sample(range(700), 30)]
+    rows += [(u, f"t{s}", r) for u, s, r in rows if s < "s003"]
+    ratings = spark.createDataFrame(rows, SCHEMA)
+    unit = S.stage(S.unit_rows(ratings), "unit")
+    left = unit.selectExpr("user_id", "song_id AS a")
+    meet = unit.join(left, "user_id").where("a < song_id").select("a", "song_id").distinct().count()
+    assert S.candidate_pairs(unit, 0.3).count() < meet / 10
+    found = {(r.rated_song_id, r.song_id) for r in S.similar_pairs(ratings, 0.3).collect()}
+    assert found == {p for p, s in brute_cosines(rows).items() if p[0] < p[1] and round(s, 12) >= 0.3}
+    assert len(found) >= 3
