@@ -15,12 +15,18 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str =
     """One row per key: the first or the last by ``order``.
 
     An aggregate, not a window: each task first reduces its own rows, so a key
-    with very many rows costs no more than others.
+    with very many rows costs no more than others. Columns of ``order`` are
+    taken from the best order, not carried beside it; where the caller drops
+    them, rows go through the shuffle with them once.
     """
-    pick = {"first": F.min_by, "last": F.max_by}[keep]
-    rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    pick, best = {"first": (F.min_by, F.min), "last": (F.max_by, F.max)}[keep]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    places = F.struct(*order)
+    row = pick(F.struct(*rest) if rest else F.lit(0), places)
+    found = df.groupBy(*keys).agg(row.alias("_row"), best(places).alias("_order"))
+    return found.select(*[
+        F.col(c) if c in keys else F.col(f"_order.{c}" if c in order else f"_row.{c}").alias(c) for c in df.columns
+    ])
 
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "SongNumber") -> DataFrame:

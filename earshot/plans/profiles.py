@@ -31,7 +31,11 @@ def user_profile(
 def profile_errors(
     profile: DataFrame, features: Sequence[str] = tuple(PROFILE_FEATURES), n_train: int = 21
 ) -> DataFrame:
-    """Fit on each listener's first rows, test on the others: ``(user_id, n, mse, rmse)``."""
-    split = stage(positional_split(profile, n_train), "profile")
+    """Fit on each listener's first rows, test on the others: ``(user_id, n, mse, rmse)``.
+
+    Of the profile only what orders the rows and what models are made of is read.
+    """
+    rows = profile.select("user_id", "song_id", "label", *features)
+    split = stage(positional_split(rows, n_train), "profile")
     models = fit_ols(split.where("is_train"), features)
     return mse(predict_linear(models, split.where("NOT is_train"), features), by="user_id")
