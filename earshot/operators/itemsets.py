@@ -85,7 +85,8 @@ def contained_sets(rows: DataFrame, sets: DataFrame, k: int) -> DataFrame:
     """Which of the given ``k``-item sets each basket contains, one item at a time.
 
     A basket makes no more rows than there are set prefixes, however many items
-    it has.
+    it has. Rows are never broadcast: they take far more memory in a table of
+    keys than in the file whose bytes Spark goes by.
     """
     found = rows.select("basket_id", F.col("item").alias("i1")).join(
         sets.select("i1").distinct(), "i1", "left_semi"
@@ -93,7 +94,7 @@ def contained_sets(rows: DataFrame, sets: DataFrame, k: int) -> DataFrame:
     for size in range(2, k + 1):
         prefixes = sets.select(*_names(size)).distinct()
         found = found.join(prefixes, _names(size - 1)).join(
-            rows.select("basket_id", F.col("item").alias(f"i{size}")), ["basket_id", f"i{size}"], "left_semi"
+            rows.select("basket_id", F.col("item").alias(f"i{size}")).hint("merge"), ["basket_id", f"i{size}"], "left_semi"
         )
     return found.select("basket_id", *_names(k))
 
