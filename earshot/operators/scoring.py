@@ -280,17 +280,104 @@ def score_all(
     return _score_cells(models, songs, features, _all_scores, users_per_block, songs_per_block)
 
 
-def _totals(left: pa.Table, right: pa.Table) -> pa.Table:
-    models, _, songs = _cell(left, right)
-    total, best = np.zeros(songs.num_rows), np.full(songs.num_rows, -np.inf)
-    if models.num_rows and songs.num_rows:
-        for _, scores in _score_chunks(models, songs):
-            total += scores.sum(axis=0)
-            best = np.maximum(best, scores.max(axis=0))
+def _laid_out(songs: DataFrame, features: Sequence[str], songs_per_block: int):
+    """Songs in blocks and leaves of a tree over their features, and what is known of the leaves.
+
+    Returns ``(song_id, values, leaf, block)``, stored, the number of blocks, and of each
+    leaf its songs, its block, and the least and greatest values.
+    """
+    values = F.array(*[F.col(c).cast("double") for c in features]).alias("values")
+    songs = stage(songs.dropna(subset=list(features)).select("song_id", values), "scored-songs")
+    n_songs = songs.count()
+    block_depth = max(0, (n_songs - 1) // songs_per_block).bit_length()
+    depth = max(block_depth, min(LEAVES.bit_length() - 1, (n_songs // LEAF_SONGS).bit_length()))
+    sample = songs.orderBy(F.xxhash64("song_id", "values")).limit(TREE_SONGS).select("values").collect()
+    columns, cuts = _tree(np.array([r.values for r in sample], dtype=float).reshape(len(sample), len(features)), depth)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaf = _leaf_of(_matrix(pa.chunked_array([batch["values"]]), batch.num_rows), columns, cuts)
+            yield batch.append_column("leaf", pa.array(leaf, pa.int32()))
+
+    laid = songs.mapInArrow(placed, T.StructType([*songs.schema, T.StructField("leaf", T.IntegerType())]))
+    laid = stage(laid.withColumn("block", F.shiftright("leaf", depth - block_depth)), "song-leaves")
+    ends = [f(F.col("values")[i]) for f in (F.min, F.max) for i in range(len(features))]
+    leaves = sorted(map(tuple, laid.groupBy("leaf", "block").agg(F.count("*"), *ends).collect()))
+    if not leaves:
+        leaves = [(0, 0, 0, *[0.0] * (2 * len(features)))]
+    numbers = np.array(leaves, dtype=float)
+    counts, leaf_blocks = numbers[:, 2].astype(np.int64), numbers[:, 1].astype(np.int64)
+    return laid, 2**block_depth, counts, leaf_blocks, numbers[:, 3:3 + len(features)], numbers[:, 3 + len(features):]
+
+
+def _slots(counts: np.ndarray, leaf_blocks: np.ndarray, blocks: int, songs_per_block: int):
+    """In how many parts each block's songs go: those too alike to be told apart by the tree are cut by hash."""
+    in_block = np.bincount(leaf_blocks, counts, minlength=blocks).astype(int)
+    return F.get(F.lit([int(c) // songs_per_block // 2 + 1 for c in in_block]), F.col("block"))
+
+
+def _reached(low: np.ndarray, high: np.ndarray):
+    """Task function that gives a score of each leaf that some model reaches on all of its songs."""
+
+    def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        floor = np.full(len(low), -np.inf)
+        for batch in batches:
+            for start in range(0, batch.num_rows, LISTENERS):
+                models = batch.slice(start, LISTENERS)
+                weights = _matrix(pa.chunked_array([models["weights"]]), models.num_rows)
+                least, _, slack = _bounds(weights, models["intercept"].to_numpy(zero_copy_only=False), low, high)
+                floor = np.maximum(floor, (least - slack[:, None]).max(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(low)), pa.int32()), pa.array(floor)], names=["place", "floor"])
+
+    return reached
+
+
+def _contenders(low: np.ndarray, high: np.ndarray, floor: np.ndarray, leaf_blocks: np.ndarray):
+    """Task function that sends each model to the blocks where it may give a song its best score."""
+    starts = np.flatnonzero(np.diff(leaf_blocks, prepend=-1))
+
+    def contenders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, LISTENERS):
+                models = batch.slice(start, LISTENERS)
+                weights = _matrix(pa.chunked_array([models["weights"]]), models.num_rows)
+                _, greatest, slack = _bounds(weights, models["intercept"].to_numpy(zero_copy_only=False), low, high)
+                rows, blocks = np.nonzero(np.logical_or.reduceat(greatest + slack[:, None] >= floor, starts, axis=1))
+                sent = models.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(leaf_blocks[starts][blocks], pa.int32()), sent["weights"], sent["intercept"]],
+                    names=["block", "weights", "intercept"],
+                )
+
+    return contenders
+
+
+def _greatest(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The best score of each song of a cell, leaf by leaf; a model is tried where its bound beats what is found."""
+    songs = right.sort_by([("leaf", "ascending")])
+    best = np.full(songs.num_rows, -np.inf)
+    if left.num_rows and songs.num_rows:
+        values = _matrix(songs["values"], songs.num_rows)
+        starts = np.flatnonzero(np.diff(songs["leaf"].to_numpy(), prepend=-1))
+        ends = np.append(starts[1:], songs.num_rows)
+        low, high = np.minimum.reduceat(values, starts), np.maximum.reduceat(values, starts)
+        all_weights, all_intercepts = _matrix(left["weights"], left.num_rows), left["intercept"].to_numpy()
+        for start in range(0, left.num_rows, LISTENERS):
+            weights, intercepts = all_weights[start:start + LISTENERS], all_intercepts[start:start + LISTENERS]
+            _, greatest, slack = _bounds(weights, intercepts, low, high)
+            greatest += slack[:, None]
+            for leaf, (first, end) in enumerate(zip(starts, ends)):
+                # a song without a number as its best score keeps it
+                worst = np.fmin.reduce(best[first:end])
+                rows = np.flatnonzero(greatest[:, leaf] >= worst)
+                at_once = max(1, CHUNK_SCORES // (end - first))
+                for at in range(0, len(rows), at_once):
+                    tried = rows[at:at + at_once]
+                    scores = weights[tried] @ values[first:end].T + intercepts[tried, None]
+                    best[first:end] = np.maximum(best[first:end], scores.max(axis=0))
     return pa.table({
-        "song_id": songs["song_id"].combine_chunks(),
-        "users": pa.array(np.full(songs.num_rows, models.num_rows, dtype=np.int64)),
-        "total": pa.array(total), "best_score": pa.array(best),
+        "song_id": songs["song_id"].combine_chunks(), "values": songs["values"].combine_chunks(),
+        "part": songs["part"].combine_chunks(), "best_score": pa.array(best),
     })
 
 
@@ -298,14 +385,52 @@ def song_scores(
     models: DataFrame, songs: DataFrame, features: Sequence[str],
     users_per_block: int = 32_768, songs_per_block: int = 32_768,
 ) -> DataFrame:
-    """``(song_id, users, mean_score, best_score)`` over every model, summed up inside the cells."""
-    schema = T.StructType([
-        songs.schema["song_id"], T.StructField("users", T.LongType()), T.StructField("total", T.DoubleType()),
-        T.StructField("best_score", T.DoubleType()),
-    ])
-    cells = _score_cells(models, songs, features, _totals, users_per_block, songs_per_block, schema)
-    return cells.groupBy("song_id").agg(
-        F.sum("users").alias("users"), (F.sum("total") / F.sum("users")).alias("mean_score"),
+    """``(song_id, users, mean_score, best_score)`` over every model.
+
+    A sum of linear scores is the score by summed weights, so the mean takes one
+    pass over the models. For the best score songs lie in leaves of a tree over
+    their features: exact bounds over a leaf leave few models that may be the
+    best of one of its songs, and only those are scored there. The tree decides
+    the time but not the result.
+    """
+    own = models.where("intercept IS NOT NULL").select("weights", "intercept")
+    models = stage(own, "models")
+    laid, blocks, counts, leaf_blocks, low, high = _laid_out(songs, features, songs_per_block)
+    n, intercept, *weights = models.agg(
+        F.count("*"), F.sum("intercept"), *[F.sum(F.col("weights")[i]) for i in range(len(features))]
+    ).first()
+    floors = models.mapInArrow(_reached(low, high), "place int, floor double").groupBy("place").agg(F.max("floor").alias("floor"))
+    floor = np.full(len(low), -np.inf)
+    for row in floors.collect():
+        floor[row.place] = row.floor
+    sent = stage(models.mapInArrow(
+        _contenders(low, high, floor, leaf_blocks), "block int, weights array<double>, intercept double"
+    ), "sent-models")
+    slots = _slots(counts, leaf_blocks, blocks, songs_per_block)
+    spread = 2 * models.sparkSession.sparkContext.defaultParallelism // blocks + 1
+    parts = [1] * blocks
+    for r in sent.groupBy("block").count().collect():
+        parts[r["block"]] = max(r["count"] // users_per_block + 1, min(spread, r["count"] // 256 + 1))
+    split = F.get(F.lit(parts), F.col("block"))
+    left = sent.select(
+        "block", F.explode(F.sequence(F.lit(0), slots - 1)).alias("slot"),
+        F.pmod(F.xxhash64("weights", "intercept"), split).cast("int").alias("part"), "weights", "intercept",
+    )
+    right = laid.select(
+        "block", F.pmod(F.xxhash64("song_id"), slots).cast("int").alias("slot"),
+        F.explode(F.sequence(F.lit(0), split - 1)).alias("part"), "song_id", "leaf", "values",
+    )
+    cell = ["block", "slot", "part"]
+    best = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(_greatest, T.StructType([
+        songs.schema["song_id"], T.StructField("values", T.ArrayType(T.DoubleType())),
+        T.StructField("part", T.IntegerType()), T.StructField("best_score", T.DoubleType()),
+    ]))
+    total = sum((F.col("values")[i] * F.lit(w) for i, w in enumerate(weights)), F.lit(intercept))
+    # a song's row comes once for each part of the models and counts in one of them
+    once = F.col("part") == 0
+    return best.groupBy("song_id").agg(
+        F.sum(F.when(once, F.lit(n).cast("bigint")).otherwise(0)).alias("users"),
+        (F.sum(F.when(once, total)) / F.sum(F.when(once, F.lit(n).cast("bigint")).otherwise(0))).alias("mean_score"),
         F.max("best_score").alias("best_score"),
     ).where("users > 0")
 
@@ -328,28 +453,7 @@ def recommend_top_n(
     schema = T.StructType([
         user_type, song_type, T.StructField("score", T.DoubleType()), T.StructField("ranked", T.DoubleType()),
     ])
-    values = F.array(*[F.col(c).cast("double") for c in features]).alias("values")
-    songs = stage(songs.dropna(subset=list(features)).select("song_id", values), "scored-songs")
-    n_songs = songs.count()
-    block_depth = max(0, (n_songs - 1) // songs_per_block).bit_length()
-    depth = max(block_depth, min(LEAVES.bit_length() - 1, (n_songs // LEAF_SONGS).bit_length()))
-    sample = songs.orderBy(F.xxhash64("song_id", "values")).limit(TREE_SONGS).select("values").collect()
-    columns, cuts = _tree(np.array([r.values for r in sample], dtype=float).reshape(len(sample), len(features)), depth)
-
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            leaf = _leaf_of(_matrix(pa.chunked_array([batch["values"]]), batch.num_rows), columns, cuts)
-            yield batch.append_column("leaf", pa.array(leaf, pa.int32()))
-
-    laid = songs.mapInArrow(placed, T.StructType([*songs.schema, T.StructField("leaf", T.IntegerType())]))
-    laid = stage(laid.withColumn("block", F.shiftright("leaf", depth - block_depth)), "song-leaves")
-    ends = [f(F.col("values")[i]) for f in (F.min, F.max) for i in range(len(features))]
-    leaves = sorted(map(tuple, laid.groupBy("leaf", "block").agg(F.count("*"), *ends).collect()))
-    if not leaves:
-        leaves = [(0, 0, 0, *[0.0] * (2 * len(features)))]
-    numbers = np.array(leaves, dtype=float)
-    counts, leaf_blocks = numbers[:, 2].astype(np.int64), numbers[:, 1].astype(np.int64)
-    low, high = numbers[:, 3:3 + len(features)], numbers[:, 3 + len(features):]
+    laid, blocks, counts, leaf_blocks, low, high = _laid_out(songs, features, songs_per_block)
 
     listeners = heard.groupBy(F.col("user_id").alias("heard_by")).agg(F.count("*").alias("heard"))
     known = models.select("user_id", "weights", "intercept").join(
@@ -359,17 +463,15 @@ def recommend_top_n(
         T.StructField("block", T.IntegerType()), user_type, T.StructField("weights", T.ArrayType(T.DoubleType())),
         T.StructField("intercept", T.DoubleType()), T.StructField("floor", T.DoubleType()),
     ])), "sent-models")
-    # a block of songs too alike to be told apart by the tree is cut by hash
-    in_block = np.bincount(leaf_blocks, counts, minlength=2**block_depth).astype(int)
-    slots = F.get(F.lit([int(c) // songs_per_block // 2 + 1 for c in in_block]), F.col("block"))
+    slots = _slots(counts, leaf_blocks, blocks, songs_per_block)
     slot = F.pmod(F.xxhash64("song_id"), slots).cast("int").alias("slot")
     laid = laid.select("*", slot)
     homes = laid.select(F.col("song_id").alias("home_of"), "block", "slot").distinct()
     met = stage(heard.join(homes, F.col("song_id").eqNullSafe(F.col("home_of"))).select(
         "block", "slot", "user_id", F.col("song_id").cast(song_type.dataType).alias("song_id")
     ), "heard-cells")
-    spread = 2 * models.sparkSession.sparkContext.defaultParallelism // 2**block_depth + 1
-    parts = [1] * 2**block_depth
+    spread = 2 * models.sparkSession.sparkContext.defaultParallelism // blocks + 1
+    parts = [1] * blocks
     for r in sent.groupBy("block").count().collect():
         parts[r["block"]] = max(r["count"] // users_per_block + 1, min(spread, r["count"] // 256 + 1))
     for r in met.groupBy("block").count().collect():
